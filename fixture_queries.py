@@ -15,6 +15,7 @@ from varloom.functions.sequence import next_inframe_atg
 from varloom.operators import scores as score_merges
 from varloom.operators.expand import cast_fixed, expand_ann, expand_csq, null_tokens
 from varloom.operators.start_lost import WINDOW, with_windows
+from varloom.plans.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -534,9 +535,9 @@ SELECT f.*, c.gpn_score FROM ({_first_sql(_VEP, _VEP_COLUMNS)}) AS f LEFT JOIN (
 
 @query("pre_deleteriousness", _PRE, (*_VEP_TABLES, "conservation_raw"))
 def pre_deleteriousness(spark, sf_dir):
-    table = _vep(spark, sf_dir)
+    table = staged(_vep(spark, sf_dir))
     scores = v.conservation_scores(fixture(spark, sf_dir, "typed_sites"), fixture(spark, sf_dir, "conservation_raw"))
-    return v.merge_pre_deleteriousness(table, scores)
+    return v.merge_pre_deleteriousness(table, staged(scores))
 
 
 @query("feature_table", _fill_sql(_delete_join(
@@ -549,7 +550,8 @@ def pre_deleteriousness(spark, sf_dir):
 def feature_table(spark, sf_dir):
     """All stages after the long table: features, score merges, fill."""
     scores = v.normalise_score_keys(fixture(spark, sf_dir, "deleteriousness_raw"), gene="geneid")
-    merged = v.merge_deleteriousness(pre_deleteriousness(spark, sf_dir), scores, ["phred", "rawscore"])
+    table = staged(pre_deleteriousness(spark, sf_dir))
+    merged = v.merge_deleteriousness(table, scores, ["phred", "rawscore"])
     spec = {**_SPEC, "phred": [0], "gpn_score": [0]}
     return v.fill_nulls(merged, spec, [*_KEEP[:-1], "phred", "gpn_score"])
 

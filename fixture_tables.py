@@ -208,7 +208,14 @@ def with_tables(query: str, names: list[str], dialect: int = 1) -> str:
     return f"WITH {tables}\n{query.strip()}"
 
 
+_registered: dict[str, str] = {}
+
+
 def register_base_tables(spark: SparkSession, sf_dir: str) -> None:
+    session = f"{spark.sparkContext.applicationId}-{id(spark)}"
+    if _registered.get(session) == sf_dir and all(spark.catalog.tableExists(t) for t in BASE_TABLES):
+        return
+    _registered[session] = sf_dir
     parallelism = spark.sparkContext.defaultParallelism
     for table in BASE_TABLES:
         df = spark.read.parquet(f"{sf_dir}/{table}.parquet")

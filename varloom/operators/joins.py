@@ -107,9 +107,9 @@ def heavy_keys(df: DataFrame, on: Sequence[str]) -> HeavyKeys:
     def pieces(rows: int) -> int:
         # Aim at half a partition's fair share for each piece, in powers of two.
         wanted = 2 * partitions * rows / row.total
-        return 1 << int(wanted).bit_length() if wanted > 4 else 1
+        return 1 << (int(wanted) - 1).bit_length() if wanted > 4 else 1
 
-    splits = {item.item: pieces(item.count) for item in (row.top or []) if item.item is not None}
+    splits = {item["item"]: pieces(item["count"]) for item in (row.top or []) if item["item"] is not None}
     return HeavyKeys({h: n for h, n in splits.items() if n > 1}, pieces(row.nulls) if row.total else 1)
 
 
@@ -119,19 +119,20 @@ def _content_share(df: DataFrame, count: Column) -> Column:
 
 
 def balanced_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                  right_unique: bool = False) -> DataFrame:
+                  left_unique: bool = False, right_unique: bool = False) -> DataFrame:
     """Inner or left equi-join that splits heavy keys of either side.
 
     Heavy left key: its rows are spread over ``a`` shares and the matching
     right rows repeated ``a`` times. Heavy right key: the same with the roles
     swapped, so each matching pair still meets exactly once. Left rows with a
-    null key match nothing and are simply spread.
+    null key match nothing and are simply spread. A side known to hold each
+    key once needs no search for heavy keys.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"balanced_join supports inner and left, not {how!r}")
     on = list(on)
     _check_key_types(left, right, on)
-    left_heavy = heavy_keys(left, on)
+    left_heavy = HeavyKeys({}) if left_unique else heavy_keys(left, on)
     right_heavy = HeavyKeys({}) if right_unique else heavy_keys(right.dropna(subset=on), on)
     if not left_heavy and not right_heavy:
         return _in_order(left.join(right, on, how), left, right, on)

@@ -35,7 +35,8 @@ def conservation_scores(df: DataFrame, scores: DataFrame, value: str = "gpn_scor
     right = scores.select(
         contig("chrom").alias("_contig"), F.col("pos").cast("bigint").alias("pos"), "ref", "alt", value
     )
-    return balanced_join(variants, right, ["_contig", "pos", "ref", "alt"]).drop("_contig")
+    joined = balanced_join(variants, right, ["_contig", "pos", "ref", "alt"], left_unique=True)
+    return joined.drop("_contig")
 
 
 def merge_scores(df: DataFrame, scores: DataFrame, on: Sequence[str], cardinality: str = "m:1",

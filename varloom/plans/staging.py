@@ -1,0 +1,31 @@
+"""Intermediate tables in the shared folder of the cluster."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def staging_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    root = tempfile.mkdtemp(prefix="varloom-")
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` once and read it back.
+
+    Cuts the lineage, survives the loss of executors, and lets later size and
+    skew checks read single columns instead of recomputing the plan.
+    """
+    path = f"{staging_root(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
