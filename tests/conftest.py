@@ -10,9 +10,14 @@ from varloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def checkpoint_dir(tmp_path_factory):
+    return tmp_path_factory.mktemp("checkpoint")
+
+
+@pytest.fixture(scope="session")
+def spark(checkpoint_dir):
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "tests", "local[8]", spark__checkpoint__dir=str(checkpoint_dir), spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     return session

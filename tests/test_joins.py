@@ -8,6 +8,11 @@ from varloom.operators.joins import (
 )
 
 
+@pytest.fixture(autouse=True)
+def small_counts_are_heavy(monkeypatch):
+    monkeypatch.setattr(joins, "MIN_HEAVY_ROWS", 100)
+
+
 @pytest.fixture(scope="module")
 def left(spark):
     """A third of the rows on key (a, 1), a sixth with a null key, the rest spread."""
@@ -34,6 +39,11 @@ def test_heavy_keys_finds_the_hot_key_and_nulls(left):
     assert not only_nulls.splits and only_nulls.null_splits == 16
 
 
+def test_few_rows_are_never_heavy(left, monkeypatch):
+    monkeypatch.setattr(joins, "MIN_HEAVY_ROWS", 10_000)
+    assert not heavy_keys(left, ["name", "n"])
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_hot_left_key(left, right, how):
     got = balanced_join(left, right, ["name", "n"], how)

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # below executor memory whatever the cluster.
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
+# A key with fewer rows never slows a task enough to be worth splitting.
+MIN_HEAVY_ROWS = 10_000
+
 _FIXED_WIDTH = 16
 
 
@@ -106,6 +109,8 @@ def heavy_keys(df: DataFrame, on: Sequence[str]) -> HeavyKeys:
 
     def pieces(rows: int) -> int:
         # Aim at half a partition's fair share for each piece, in powers of two.
+        if rows < MIN_HEAVY_ROWS:
+            return 1
         wanted = 2 * partitions * rows / row.total
         return 1 << (int(wanted) - 1).bit_length() if wanted > 4 else 1
 

@@ -44,7 +44,8 @@ def convert_annotations(sites: DataFrame, names: Sequence[str], field: str = "CS
 
 def convert_release(spark: SparkSession, annotation_root: str, outdir: str, field: str = "CSQ",
                     shards: str = "shard-*", subshards: str = "subshard-*", vcf_name: str = DEFAULT_VCF_NAME,
-                    max_af: float | None = None, max_ac: int | None = None, with_ann: bool = True) -> DataFrame:
+                    max_af: float | None = None, max_ac: int | None = None, with_ann: bool = True,
+                    region: str | Sequence[str] | None = None) -> DataFrame:
     """Convert every file not published yet; returns the schema groups.
 
     All headers, those of earlier runs included, must agree before any record
@@ -72,7 +73,7 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
     if names:
         paths = [row.path for row in todo.select("path").collect()]
         sites = read_sites(spark, paths, info=info_tags(field))
-        long = convert_annotations(sites, names, field, max_af, max_ac, with_ann=with_ann)
+        long = convert_annotations(sites, names, field, max_af, max_ac, region, with_ann)
         sinks.publish_annotations(long, outdir)
         sinks.record_published(fresh, outdir)
     return groups

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_root: list[str] = []
+
 
 def staging_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode."""
@@ -15,9 +17,9 @@ def staging_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="varloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="varloom-"))
+    return _local_root[0]
 
 
 def staged(df: DataFrame) -> DataFrame:
