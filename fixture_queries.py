@@ -15,7 +15,7 @@ from varloom.functions.sequence import next_inframe_atg
 from varloom.operators import scores as score_merges
 from varloom.operators.expand import cast_fixed, expand_ann, expand_csq, null_tokens
 from varloom.operators.start_lost import WINDOW, with_windows
-from varloom.plans.staging import staged
+from varloom.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varloom.staging import staged
+
 BASE_TABLES = ("supplier", "part", "orders", "lineitem")
 
 CSQ_RAW = ["Allele", "Consequence", "Gene", "Feature", "BIOTYPE", "STRAND", "CDS_position",
@@ -190,32 +192,33 @@ def _text(name: str, dialect: int) -> str:
     return entry if isinstance(entry, str) else entry[dialect]
 
 
-def _needed(name: str, dialect: int, seen: list[str]) -> list[str]:
+def _needed(name: str, dialect: int, given: tuple[str, ...], seen: list[str]) -> list[str]:
     for other in FIXTURES:
-        if other != name and other not in seen and re.search(rf"\b{other}\b", _text(name, dialect)):
-            _needed(other, dialect, seen)
+        if other not in (name, *given, *seen) and re.search(rf"\b{other}\b", _text(name, dialect)):
+            _needed(other, dialect, given, seen)
     if name not in seen:
         seen.append(name)
     return seen
 
 
-def with_tables(query: str, names: list[str], dialect: int = 1) -> str:
-    """``query`` preceded by the fixture tables it names (DuckDB by default)."""
+def with_tables(query: str, names: list[str], dialect: int = 1, given: tuple[str, ...] = ()) -> str:
+    """``query`` preceded by the fixture tables it names (DuckDB by default), except those ``given`` as views."""
     order: list[str] = []
     for name in names:
-        _needed(name, dialect, order)
+        if name not in given:
+            _needed(name, dialect, given, order)
     tables = ",\n".join(f"{n} AS ({_text(n, dialect).strip()})" for n in order)
-    return f"WITH {tables}\n{query.strip()}"
+    return (f"WITH {tables}\n" if tables else "") + query.strip()
 
 
-_registered: dict[str, str] = {}
+# What earlier stages leave on disk: derived once per session, then read as
+# the Parquet tables they stand for.
+STORED = ("variants", "long_table")
 
+_session_of: dict[str, tuple[str, set[str]]] = {}
 
-def register_base_tables(spark: SparkSession, sf_dir: str) -> None:
-    session = f"{spark.sparkContext.applicationId}-{id(spark)}"
-    if _registered.get(session) == sf_dir and all(spark.catalog.tableExists(t) for t in BASE_TABLES):
-        return
-    _registered[session] = sf_dir
+
+def _register_base_tables(spark: SparkSession, sf_dir: str) -> None:
     parallelism = spark.sparkContext.defaultParallelism
     for table in BASE_TABLES:
         df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -228,5 +231,16 @@ def register_base_tables(spark: SparkSession, sf_dir: str) -> None:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table as a DataFrame over the parquet tables in ``sf_dir``."""
-    register_base_tables(spark, sf_dir)
-    return spark.sql(with_tables(f"SELECT * FROM {name}", [name], dialect=0))
+    session = f"{spark.sparkContext.applicationId}-{id(spark)}"
+    known_dir, stored = _session_of.get(session, ("", set()))
+    if known_dir != sf_dir or not spark.catalog.tableExists(BASE_TABLES[0]):
+        stored = set()
+        _session_of[session] = (sf_dir, stored)
+        _register_base_tables(spark, sf_dir)
+    for table in STORED:
+        used = table == name or table in _needed(name, 0, (), [])
+        if used and table not in stored:
+            query = with_tables(f"SELECT * FROM {table}", [table], 0, tuple(stored))
+            staged(spark.sql(query)).createOrReplaceTempView(table)
+            stored.add(table)
+    return spark.sql(with_tables(f"SELECT * FROM {name}", [name], 0, tuple(stored)))

@@ -26,7 +26,7 @@ from varloom.operators.validate import (
 from varloom.plans.convert import convert_annotations, convert_release
 from varloom.plans.features import process_vep
 from varloom.plans.pipeline import FeatureConfig, run_pipeline
-from varloom.plans import staging
+from varloom import staging
 from varloom.session import build_session
 from varloom.sources.reference_data import read_fasta_chunks, read_gtf, read_substitution_matrix
 from varloom.sources.sinks import publish_annotations, unpublished, write_annotations

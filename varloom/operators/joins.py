@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varloom.staging import staged
+
 # A broadcast is copied to every executor, so its measured size must stay well
 # below executor memory whatever the cluster.
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
@@ -58,7 +60,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
 def membership_join(left: DataFrame, values: DataFrame, on: str,
                     max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``left`` whose ``on`` value occurs in ``values``."""
-    return lookup_join(left, values.select(on).distinct(), [on], "left_semi", max_bytes)
+    return lookup_join(left, staged(values.select(on).distinct()), [on], "left_semi", max_bytes)
 
 
 class HeavyKeys:

@@ -13,6 +13,7 @@ from varloom.operators.dedupe import keep_first
 from varloom.operators.joins import balanced_join, lookup_join, membership_join
 from varloom.operators.row_features import lower_columns
 from varloom.operators.validate import validate_join
+from varloom.staging import staged
 
 
 def downcast_doubles(df: DataFrame) -> DataFrame:
@@ -148,7 +149,7 @@ def domain_overlap(df: DataFrame, domains: DataFrame, flags: Sequence[str] = DOM
     span = F.split(slash_part(F.col("protein_position"), 0), "-")
     start = F.get(span, F.lit(0))
     ends = F.array(start, F.coalesce(F.get(span, F.lit(1)), start))
-    hits = (
+    hits = staged(
         df.where("protein_position is not null")
         .select("id", "region", F.explode(F.array_distinct(ends)).alias("residue"))
         .withColumn("residue", F.expr("try_cast(residue as int)"))
@@ -158,11 +159,12 @@ def domain_overlap(df: DataFrame, domains: DataFrame, flags: Sequence[str] = DOM
     spans = domains.where("domain_start <= domain_end").groupBy("region", "domain_start", "domain_end")
     binned = spans.agg(*[F.max(f).alias(f) for f in flags]).withColumn("bin", F.explode(
         F.sequence(F.floor(F.col("domain_start") / _DOMAIN_BIN), F.floor(F.col("domain_end") / _DOMAIN_BIN))))
-    inside = balanced_join(points, binned, ["region", "bin"], "inner").where(
+    # A (region, bin) has at most 64 points, so only the domain side can be heavy.
+    inside = balanced_join(points, binned, ["region", "bin"], "inner", left_unique=True).where(
         F.col("residue").between(F.col("domain_start"), F.col("domain_end"))
     )
     per_point = inside.groupBy("region", "residue").agg(*[F.max(f).alias(f) for f in flags])
     per_variant = balanced_join(hits, per_point, ["region", "residue"], "inner", right_unique=True) \
         .groupBy("id", "region").agg(*[F.max(f).alias(f) for f in flags])
-    merged = lookup_join(df, per_variant, ["id", "region"])
+    merged = lookup_join(df, staged(per_variant), ["id", "region"])
     return merged.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags})
