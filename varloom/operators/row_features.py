@@ -57,16 +57,13 @@ def spliceai_delta(df: DataFrame, sep: str = "|") -> DataFrame:
 
 
 def substitution_score(df: DataFrame, matrix: DataFrame) -> DataFrame:
-    """Score of an amino-acid exchange written ``A/R``; null for anything else.
-
-    The matrix holds pairs of single letters, so it is small by construction.
-    """
+    """Score of an amino-acid exchange written ``A/R``; null for anything else."""
     if "amino_acids" not in df.columns:
         return df
     pattern = r"^([A-Z])/([A-Z])$"
     pairs = matrix.select(F.concat_ws("/", "ref_aa", "alt_aa").alias("_pair"), "blosum62")
     keyed = df.withColumn("_pair", F.when(F.col("amino_acids").rlike(pattern), F.col("amino_acids")))
-    return keyed.join(F.broadcast(pairs), "_pair", "left").drop("_pair")
+    return lookup_join(keyed, pairs, ["_pair"]).drop("_pair")
 
 
 def length_flags(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from varloom.operators.schema_check import (
     canonical_file, canonical_schema, check_schema, enforce_one_schema, schema_hashes,
 )
 from varloom.sources import sinks
+from varloom.sources.bgzf import DEFAULT_SPLIT, read_bgzf_lines, with_bgzf_flag
 from varloom.sources.vcf import (
     DEFAULT_VCF_NAME, discover_files, info_tags, read_field_names, read_sites, vcf_glob,
 )
@@ -45,7 +47,7 @@ def convert_annotations(sites: DataFrame, names: Sequence[str], field: str = "CS
 def convert_release(spark: SparkSession, annotation_root: str, outdir: str, field: str = "CSQ",
                     shards: str = "shard-*", subshards: str = "subshard-*", vcf_name: str = DEFAULT_VCF_NAME,
                     max_af: float | None = None, max_ac: int | None = None, with_ann: bool = True,
-                    region: str | Sequence[str] | None = None) -> DataFrame:
+                    region: str | Sequence[str] | None = None, split_bytes: int = DEFAULT_SPLIT) -> DataFrame:
     """Convert every file not published yet; returns the schema groups.
 
     All headers, those of earlier runs included, must agree before any record
@@ -71,14 +73,28 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
         spark, outdir, hashes, groups, canonical_schema(spark, table_columns(names, field)), report)
     enforce_one_schema(hashes)
     if names:
-        paths = [row.path for row in todo.select("path").collect()]
-        sites = read_sites(spark, paths, info=info_tags(field))
+        sites = read_release(spark, todo, info_tags(field), split_bytes)
         long = convert_annotations(sites, names, field, max_af, max_ac, region, with_ann)
         sinks.publish_annotations(long, outdir)
         sinks.record_published(fresh, outdir)
     return groups
 
 
+def read_release(spark: SparkSession, files: DataFrame, info: Sequence[str],
+                 split_bytes: int = DEFAULT_SPLIT) -> DataFrame:
+    """Site records of discovered files; bgzipped ones over ``split_bytes`` are read in ranges."""
+    listed = with_bgzf_flag(files.where(F.col("length") > split_bytes)).select("path", "is_bgzf").collect()
+    large = [row.path for row in listed if row.is_bgzf]
+    small = [row.path for row in files.select("path").collect() if row.path not in set(large)]
+    parts = []
+    if small:
+        parts.append(read_sites(spark, small, info))
+    if large:
+        lines = read_bgzf_lines(files.where(F.col("path").isin(large)), split_bytes)
+        parts.append(read_sites(spark, large, info, lines))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _names_of(fields: DataFrame, hashes: DataFrame) -> list[str]:
     """Subfield names of the canonical new file; empty when nothing is new."""
     first = canonical_file(hashes)
