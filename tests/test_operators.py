@@ -187,17 +187,28 @@ def test_null_keys_are_reported(spark):
     assert v.assert_no_nulls(df, ["pos"]) is df
 
 
-def test_keep_first_prefers_small_then_breaks_ties(spark):
+@pytest.mark.parametrize("rare", [False, True])
+def test_keep_first_prefers_small_then_breaks_ties(spark, rare):
     df = frame(spark, "id string, feature string, d int, x string",
                ("a", "t", None, "z"), ("a", "t", 5, "y"), ("a", "t", 5, "b"), ("a", "u", None, "q"),
                (None, None, 1, "n"), (None, None, 0, "m"))
-    got = v.keep_first(df, ["id", "feature"], [F.asc_nulls_last("d")])
+    got = v.keep_first(df, ["id", "feature"], [F.asc_nulls_last("d")], rare_copies=rare)
     assert rows(got) == sorted([("a", "t", 5, "b"), ("a", "u", None, "q"), (None, None, 0, "m")], key=repr)
 
 
-def test_distinct_drops_copies_only(spark):
-    df = frame(spark, "a string, b double", ("x", 1.0), ("x", 1.0), ("x", None), ("x", None), (None, 1.0))
-    assert v.distinct_rows(df).count() == 3
+@pytest.mark.parametrize("rare", [False, True])
+def test_distinct_drops_copies_only(spark, rare):
+    df = frame(spark, "a string, b double", ("x", 1.0), ("x", 1.0), ("x", None), ("x", None), (None, 1.0),
+               ("z", 0.0), ("z", -0.0), ("n", float("nan")), ("n", float("nan")))
+    assert v.distinct_rows(df, rare).count() == 5
+    assert v.distinct_rows(df.limit(1), rare).count() == 1 and v.distinct_rows(df.limit(0), rare).count() == 0
+
+
+def test_distinct_with_too_many_copies_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("varloom.operators.dedupe.is_broadcastable", lambda df: False)
+    df = spark.range(50).select((F.col("id") % 7).alias("k"), F.lit("c").alias("c"))
+    assert v.distinct_rows(df, True).count() == 7
+    assert v.keep_first(df, ["k"], [F.asc("c")], rare_copies=True).count() == 7
 
 
 def test_gene_and_biotype_filters(spark):

@@ -58,6 +58,11 @@ def test_distinct_merges_copies_before_the_shuffle(table):
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
 
 
+def test_unique_rows_are_not_shuffled(table):
+    assert "Exchange" not in plan(v.distinct_rows(table, rare_copies=True))
+    assert "Exchange" not in plan(v.keep_first(table, ["id", "feature"], [F.asc("dist_to_tss")], rare_copies=True))
+
+
 def test_row_features_do_not_shuffle(table):
     df = v.one_hot(table, "consequence", "&", ["missense_variant"])
     df = v.with_maf_cohort(v.length_flags(v.with_region(df.withColumn("gene", F.col("region")))))

@@ -120,9 +120,14 @@ def heavy_keys(df: DataFrame, on: Sequence[str]) -> HeavyKeys:
     return HeavyKeys({h: n for h, n in splits.items() if n > 1}, pieces(row.nulls) if row.total else 1)
 
 
-def _content_share(df: DataFrame, count: Column) -> Column:
-    """Spread rows of one key by their content; the same again on a task retry."""
-    return F.when(count > 1, F.pmod(F.xxhash64(*[f"`{c}`" for c in df.columns]), count)).otherwise(F.lit(0))
+def _share(df: DataFrame, count: Column) -> Column:
+    """Spread rows of one key over ``count`` shares, the same again on a task retry.
+
+    By content, and by map task so that exact copies part as well. Neither
+    depends on the order in which a task meets its rows.
+    """
+    spot = F.xxhash64(*[f"`{c}`" for c in df.columns]) + F.spark_partition_id()
+    return F.when(count > 1, F.pmod(spot, count)).otherwise(F.lit(0)).cast("int")
 
 
 def balanced_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -146,7 +151,7 @@ def balanced_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
 
     key_hash = F.xxhash64(*on)
     left_split = F.when(_any_null(on), F.lit(left_heavy.null_splits)).otherwise(left_heavy.split_count(key_hash))
-    spread = left.withColumn("_ls", _content_share(left, left_split).cast("int"))
+    spread = left.withColumn("_ls", _share(left, left_split))
     copies = right.withColumn("_ls", F.explode(F.sequence(F.lit(0), left_heavy.split_count(key_hash) - 1)))
     salted = [*on, "_ls"]
 
@@ -154,7 +159,7 @@ def balanced_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
         # Exact key values, at most one per heavy hash, so the set is tiny.
         known = right.where(key_hash.isin(list(right_heavy.splits))).select(*on).distinct()
         right_split = right_heavy.split_count(key_hash)
-        copies = copies.withColumn("_rs", _content_share(right, right_split).cast("int"))
+        copies = copies.withColumn("_rs", _share(right, right_split))
         spread = (
             spread.join(F.broadcast(known.withColumn("_known", F.lit(True))), on, "left")
             .withColumn("_rs", F.explode(F.when(F.col("_known"), F.sequence(F.lit(0), right_split - 1))
@@ -179,7 +184,7 @@ def balanced_membership(left: DataFrame, right: DataFrame, on: Sequence[str], ho
         return left.join(keys, on, how)
     key_hash = F.xxhash64(*on)
     split = F.when(_any_null(on), F.lit(heavy.null_splits)).otherwise(heavy.split_count(key_hash))
-    spread = left.withColumn("_ls", _content_share(left, split).cast("int"))
+    spread = left.withColumn("_ls", _share(left, split))
     copies = keys.withColumn("_ls", F.explode(F.sequence(F.lit(0), heavy.split_count(key_hash) - 1)))
     return spread.join(copies, [*on, "_ls"], how).drop("_ls")
 

@@ -53,8 +53,12 @@ def merge_scores(df: DataFrame, scores: DataFrame, on: Sequence[str], cardinalit
 
 
 def merge_pre_deleteriousness(df: DataFrame, conservation: DataFrame, value: str = "gpn_score") -> DataFrame:
-    """One row per variant and transcript, nearest start first, with its score."""
-    first = keep_first(df, ["id", "feature"], [F.asc_nulls_last("dist_to_tss")])
+    """One row per variant and transcript, nearest start first, with its score.
+
+    Such pairs hardly ever repeat (genes on two contigs do), so only the
+    repeated ones are shuffled to choose from.
+    """
+    first = keep_first(df, ["id", "feature"], [F.asc_nulls_last("dist_to_tss")], rare_copies=True)
     return merge_scores(first, conservation.select(*VARIANT_KEY, value), VARIANT_KEY)
 
 
