@@ -15,7 +15,7 @@ from varloom.functions.sequence import next_inframe_atg
 from varloom.operators import scores as score_merges
 from varloom.operators.expand import cast_fixed, expand_ann, expand_csq, null_tokens
 from varloom.operators.start_lost import WINDOW, with_windows
-from varloom.staging import staged
+from varloom.staging import staged, staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +152,68 @@ def contig_order(spark, sf_dir):
     return sites.groupBy("chrom", contig_rank(F.col("chrom")).alias("chrom_order")).agg(F.count("*").alias("n"))
 
 
+# ── Readers, on files Spark writes from the tables ─────────────────────────
+
+
+@query("read_vcf", f"SELECT *, 'filter=' || coalesce(FILTER, '') AS shard, 'an=' || AN AS subshard FROM ({_LONG}) AS l",
+       ("variants",))
+def read_vcf(spark, sf_dir):
+    """The sites as gzipped VCF text in two folder levels, read and converted."""
+    sites = _sites(spark, sf_dir)
+    tags = [F.when(F.col(t).isNotNull(), F.concat(F.lit(f"{t}="), F.col(t))) for t in ("AC", "AN", "AF", "CSQ", "ANN")]
+    record = F.concat_ws("\t", "CHROM", "POS", F.lit("."), "REF", "ALT", "QUAL", "FILTER", F.concat_ws(";", *tags))
+    path = staging_path(spark)
+    lines = sites.select(record.alias("value"), F.col("FILTER").alias("filter"), F.col("AN").alias("an"))
+    lines.write.partitionBy("filter", "an").option("compression", "gzip").text(path)
+    read = v.read_sites(spark, f"{path}/*/*/*.gz")
+    return v.convert_annotations(read, CSQ_NAMES, with_ann=False)
+
+
+@query("read_tsv", "SELECT chrom, pos, nullif(qual, '.') AS qual, nullif(af, '.') AS af, nullif(ann, '.') AS ann FROM sites",
+       ("sites",))
+def read_tsv(spark, sf_dir):
+    path = staging_path(spark)
+    names = ["chrom", "pos", "qual", "af", "ann"]
+    fixture(spark, sf_dir, "sites").select(F.concat_ws("\t", *names)).write.text(path)
+    return v.read_all_string_tsv(spark, path, names)
+
+
+@query("concat_parquet", "SELECT * FROM long_table", ("long_table",))
+def concat_parquet(spark, sf_dir):
+    """One annotations.parquet per strand, in folders of two roots, stacked again."""
+    path = staging_path(spark)
+    long = fixture(spark, sf_dir, "long_table")
+    long.where("strand = '1'").write.parquet(f"{path}/a/shard-1/subshard-1/annotations.parquet")
+    long.where("strand = '-1'").write.parquet(f"{path}/b/shard-1/subshard-2/annotations.parquet")
+    return v.concat_annotations(spark, [f"{path}/a", f"{path}/b"])
+
+
+@query("read_gtf", """
+SELECT gene_id, seqname, feature, CAST(start1 AS bigint) AS start1, CAST(end1 AS bigint) AS end1, strand, gene_type
+FROM gtf_genes""", ("gtf_genes",))
+def read_gtf(spark, sf_dir):
+    path = staging_path(spark)
+    attributes = F.format_string('gene_id "%s"; gene_type "%s"; level 2;', "gene_id", "gene_type")
+    dot = F.lit(".")
+    fixture(spark, sf_dir, "gtf_genes").select(F.concat_ws(
+        "\t", "seqname", F.lit("TEST"), "feature", "start1", "end1", dot, "strand", dot, attributes)).write.text(path)
+    return v.read_gtf(spark, path)
+
+
+@query("read_fasta", """
+SELECT contig, chunk // 3 AS chunk, string_agg(seq, '' ORDER BY chunk) AS seq FROM genome_chunks
+GROUP BY contig, chunk // 3""", ("genome_chunks",))
+def read_fasta(spark, sf_dir):
+    """One FASTA file per contig in 32-base lines, read back as 96-base chunks."""
+    path = staging_path(spark)
+    genome = fixture(spark, sf_dir, "genome_chunks")
+    headers = genome.select("contig").distinct().select(
+        "contig", F.lit(-1).cast("bigint").alias("chunk"), F.concat(F.lit(">"), "contig").alias("seq"))
+    ordered = genome.unionByName(headers).repartition("contig").sortWithinPartitions("contig", "chunk")
+    ordered.select("contig", F.col("seq").alias("value")).write.partitionBy("contig").text(path)
+    return v.read_fasta_chunks(spark, f"{path}/*/*.txt", 3 * CHUNK)
+
+
 # ── Schema agreement and publishing ────────────────────────────────────────
 
 
@@ -472,6 +534,12 @@ def join_variants(spark, sf_dir):
     return joined.select("CHROM", "POS", "REF", "ALT", "consequence", "feature", "sample")
 
 
+@query("downcast_doubles", "SELECT chrom, pos, CAST(phred AS float) AS phred, CAST(rawscore AS float) AS rawscore "
+       "FROM deleteriousness_raw", ("deleteriousness_raw",))
+def downcast_doubles(spark, sf_dir):
+    return v.downcast_doubles(fixture(spark, sf_dir, "deleteriousness_raw").select("chrom", "pos", "phred", "rawscore"))
+
+
 _SPEC = {"af": [0], "spliceai_delta_score": [0.0], "blosum62": [-4], "lof": ["none"], "not_kept": [1]}
 _KEEP = ["id", "feature", "region", "af", "spliceai_delta_score", "blosum62", "lof", "not_in_table"]
 

@@ -94,6 +94,7 @@ def test_staging_needs_a_folder_on_a_cluster():
 
         class sparkContext:
             master = "spark://somewhere"
+            getCheckpointDir = staticmethod(lambda: None)
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.staging_root(Cluster)

@@ -12,7 +12,7 @@ _local_root: list[str] = []
 
 def staging_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -22,12 +22,17 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root[0]
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A fresh path in the staging folder."""
+    return f"{staging_root(spark)}/staged-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage, survives the loss of executors, and lets later size and
     skew checks read single columns instead of recomputing the plan.
     """
-    path = f"{staging_root(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
