@@ -123,11 +123,10 @@ SELECT md5(CASE WHEN s_suppkey % 40 = 3 THEN 'CHROM,POS,extra' ELSE 'CHROM,POS'
   CAST(CASE WHEN s_suppkey % 40 = 3 THEN 3 ELSE 2 END AS int) AS ncols
 FROM supplier""",
     # Header subfields of one file per supplier; every 40th file has one more.
-    "header_fields": """
-SELECT 'shard-' || CAST(s_suppkey % 4 AS string) AS shard, 'subshard-' || CAST(s_suppkey AS string) AS subshard,
-  h.position, h.name
-FROM supplier JOIN (VALUES (0, 'allele'), (1, 'consequence'), (2, 'af_2'), (3, 'extra')) AS h(position, name)
-  ON h.position < CASE WHEN s_suppkey % 40 = 3 THEN 4 ELSE 3 END""",
+    "header_fields": " UNION ALL ".join(
+        "SELECT 'shard-' || CAST(s_suppkey % 4 AS string) AS shard, 'subshard-' || CAST(s_suppkey AS string) AS subshard, "
+        f"{i} AS position, '{name}' AS name FROM supplier" + (" WHERE s_suppkey % 40 = 3" if name == "extra" else "")
+        for i, name in enumerate(["allele", "consequence", "af_2", "extra"])),
     # A genome with a base for every site position: 32 bases per chunk.
     "genome_chunks": (
         """
@@ -151,11 +150,11 @@ SELECT id, gene, CAST((length(feature) * 7 + l % 41) % 21 - 10 AS double) / 10e0
 FROM (SELECT id, gene, feature, CAST(substr(feature, 5) AS bigint) AS l FROM long_table
       WHERE gene IS NOT NULL) AS t""",
     # Two or three domains per gene, overlapping.
-    "protein_domains": f"""
-SELECT {_GENE.format('p_partkey')} AS region, d.domain_start, d.domain_start + 4 + p_partkey % 90 AS domain_end,
-  (p_partkey + d.i) % 2 = 0 AS mobi_full_disorder_priority, (p_partkey + d.i) % 3 = 0 AS mobi_curated_disorder_priority,
-  (p_partkey + d.i) % 5 = 0 AS mobi_full_lip_priority, d.i = 1 AS ted_domain, p_partkey % 4 = 0 AS low_complexity_domain
-FROM part JOIN (VALUES (0, 1), (1, 8), (2, 40)) AS d(i, domain_start) ON d.i < 2 + p_partkey % 2""",
+    "protein_domains": " UNION ALL ".join(f"""
+SELECT {_GENE.format('p_partkey')} AS region, {start} AS domain_start, {start} + 4 + p_partkey % 90 AS domain_end,
+  (p_partkey + {i}) % 2 = 0 AS mobi_full_disorder_priority, (p_partkey + {i}) % 3 = 0 AS mobi_curated_disorder_priority,
+  (p_partkey + {i}) % 5 = 0 AS mobi_full_lip_priority, {i} = 1 AS ted_domain, p_partkey % 4 = 0 AS low_complexity_domain
+FROM part WHERE {i} < 2 + p_partkey % 2""" for i, start in enumerate([1, 8, 40])),
     "protein_rows": f"""
 SELECT id, gene AS region, feature, amino_acids,
   CASE WHEN cds_position = '3' THEN '58-72/300' ELSE cds_position END AS protein_position

@@ -40,7 +40,7 @@ def _entries(packed: Column) -> Column:
     Each entry is split once, inside the generator; a split above it would be
     repeated for every output column.
     """
-    return F.transform(F.split(packed, ","), lambda entry: F.split(entry, "[|]", -1))
+    return F.transform(F.split(packed, ","), lambda entry: F.split(entry, r"\|", -1))
 
 
 def expand_csq(df: DataFrame, names: Sequence[str], col: str = "CSQ") -> DataFrame:

@@ -24,7 +24,8 @@ def site_filters(sites: DataFrame, max_af: float | None = None, max_ac: int | No
     Works on the raw text columns, so it runs below the expansion of the
     packed annotation. A missing AF or AC never drops a site.
     """
-    excluded = _any_allele(F.col("ALT"), lambda a: a == "*")
+    comma = F.lit(",")
+    excluded = F.coalesce(F.concat(comma, F.col("ALT"), comma).contains(",*,"), F.lit(False))
     if max_af is not None:
         excluded = excluded | _any_allele(F.col("AF"), lambda v: to_number(v, "double") > F.lit(float(max_af)))
     if max_ac is not None:

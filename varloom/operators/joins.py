@@ -1,13 +1,14 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 ``lookup_join`` broadcasts its right side only after measuring it, and falls
-back to ``balanced_join``. That one finds heavy keys with one sketch pass over
-the key columns and splits just those keys over several tasks; the rows of
-every other key take the plain shuffle join.
+back to ``balanced_join``. That one finds heavy keys by a counting pass over the key
+columns and splits just those keys over several tasks; the rows of every other
+key take the plain shuffle join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -95,29 +96,27 @@ def _any_null(on: Sequence[str]) -> Column:
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str]) -> HeavyKeys:
-    """Keys whose rows would overfill one shuffle partition.
+    """Keys holding at least twice the fair share of one shuffle partition.
 
-    One narrow pass with a frequent-items sketch: it ships a few thousand
-    counters per task, never the keys. A miss costs balance, not correctness.
+    Key hashes are counted per task before they are shuffled, 16 bytes each.
+    At most half as many keys as partitions can reach the limit, which bounds
+    what comes back to the driver.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tracked = min(100_000, max(1_000, 10 * partitions))
-    hashed = df.select(F.when(~_any_null(on), F.xxhash64(*on)).alias("h"))
-    row = hashed.agg(
-        F.count("*").alias("total"),
-        F.count_if(F.col("h").isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(h, {min(10_000, tracked // 2)}, {tracked})").alias("top"),
-    ).first()
+    total = df.count()
+    limit = max(MIN_HEAVY_ROWS, 2 * total / partitions)
+    if total < limit:
+        return HeavyKeys({})
+    hashes = df.select(F.when(~_any_null(on), F.xxhash64(*on)).alias("h"))
+    counted = hashes.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= limit).collect()
 
     def pieces(rows: int) -> int:
-        # Aim at half a partition's fair share for each piece, in powers of two.
-        if rows < MIN_HEAVY_ROWS:
-            return 1
-        wanted = 2 * partitions * rows / row.total
-        return 1 << (int(wanted) - 1).bit_length() if wanted > 4 else 1
-
-    splits = {item["item"]: pieces(item["count"]) for item in (row.top or []) if item["item"] is not None}
-    return HeavyKeys({h: n for h, n in splits.items() if n > 1}, pieces(row.nulls) if row.total else 1)
+        # Half a partition's fair share for each piece, rounded up to a power of two.
+        return 1 << (math.ceil(2 * partitions * rows / total) - 1).bit_length()
+
+    splits = {row.h: pieces(row.n) for row in counted}
+    null_splits = splits.pop(None, 1)
+    return HeavyKeys(splits, null_splits)
 
 
 def _share(df: DataFrame, count: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def spliceai_delta(df: DataFrame, sep: str = "|") -> DataFrame:
     """Largest of the four delta scores; replaces ``spliceai_pred`` if present."""
     if "spliceai_pred" not in df.columns:
         return df
-    scores = F.slice(F.split("spliceai_pred", f"[{sep}]", -1), 2, 4)
+    scores = F.slice(F.split("spliceai_pred", re.escape(sep), -1), 2, 4)
     numbers = F.transform(scores, lambda v: to_number(v, "float"))
     return df.withColumn("spliceai_delta_score", F.array_max(numbers)).drop("spliceai_pred")
 
@@ -93,7 +95,7 @@ def tss_table(gtf: DataFrame) -> DataFrame:
     """
     start0 = F.col("start1") - 1
     genes = gtf.where("gene_type = 'protein_coding' and feature = 'gene'").select(
-        F.get(F.split("gene_id", "[.]"), F.lit(0)).alias("region"),
+        F.get(F.split("gene_id", r"\."), F.lit(0)).alias("region"),
         F.struct(
             F.col("seqname"), start0.alias("start0"),
             F.when(F.col("strand") == "+", start0).otherwise(F.col("end1")).alias("tss"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,6 +20,7 @@ from varloom.sources.bgzf import DEFAULT_SPLIT, read_bgzf_lines, with_bgzf_flag
 from varloom.sources.vcf import (
     DEFAULT_VCF_NAME, discover_files, info_tags, read_field_names, read_sites, vcf_glob,
 )
+from varloom.staging import staged
 
 
 def convert_annotations(sites: DataFrame, names: Sequence[str], field: str = "CSQ",
@@ -55,7 +57,7 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
     """
     found = discover_files(spark, vcf_glob(annotation_root, shards, subshards, vcf_name))
     published = sinks.published_files(spark, outdir)
-    todo = sinks.unpublished(found, published)
+    todo = staged(sinks.unpublished(found, published))
 
     fields_path = f"{outdir.rstrip('/')}/pipeline_info/fields"
     read_field_names(todo, field).write.mode("overwrite").parquet(fields_path)
@@ -66,7 +68,7 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
     if without:
         raise ValueError(f"no {field} subfields in the header of {[r.path for r in without]}")
 
-    hashes = fresh if published is None else published.unionByName(fresh)
+    hashes = fresh if published is None else published.select(*fresh.columns).unionByName(fresh)
     groups, report = check_schema(hashes)
     names = _names_of(fields, fresh)
     sinks.write_schema_report(
@@ -75,8 +77,9 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
     if names:
         sites = read_release(spark, todo, info_tags(field), split_bytes)
         long = convert_annotations(sites, names, field, max_af, max_ac, region, with_ann)
-        sinks.publish_annotations(long, outdir)
-        sinks.record_published(fresh, outdir)
+        run = uuid.uuid4().hex
+        sinks.publish_annotations(long, outdir, run)
+        sinks.record_published(fresh, outdir, run)
     return groups
 
 
