@@ -275,11 +275,9 @@ def distinct_rows(spark, sf_dir):
     return v.distinct_rows(fixture(spark, sf_dir, "long_table"))
 
 
-@query("distinct_rows_rare_copies", "SELECT DISTINCT k, chrom, af FROM (SELECT k % 9000 AS k, chrom, af FROM typed_sites) AS t",
-       ("typed_sites",))
+@query("distinct_rows_rare_copies", "SELECT DISTINCT id, gene FROM long_table", ("long_table",))
 def distinct_rows_rare_copies(spark, sf_dir):
-    sites = fixture(spark, sf_dir, "typed_sites").select((F.col("k") % 9000).alias("k"), "chrom", "af")
-    return v.distinct_rows(sites, rare_copies=True)
+    return v.distinct_rows(fixture(spark, sf_dir, "long_table").select("id", "gene"), rare_copies=True)
 
 
 # ── Row features ───────────────────────────────────────────────────────────

@@ -34,7 +34,7 @@ def vcf_text(records, subfields="Allele|Consequence|Gene|HGVSc|AF"):
     return head + "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n" + "".join(r + "\n" for r in records)
 
 
-def write_vcf(root, shard, subshard, text, members=2, name="dragen.gel.annotated.vcf.gz"):
+def write_vcf(root, shard, subshard, text, members=2, name="cohort.annotated.vcf.gz"):
     """A gzip file of several members plus an empty one, as bgzip writes it."""
     folder = root / shard / subshard
     folder.mkdir(parents=True, exist_ok=True)

@@ -15,10 +15,11 @@ from varloom.operators.schema_check import (
     SchemaMismatch, check_schema, enforce_one_schema, schema_groups, schema_hashes,
 )
 from varloom.operators.scores import (
-    conservation_scores, domain_overlap, downcast_doubles, merge_deleteriousness, merge_pre_deleteriousness,
-    merge_scores, promoter_scores, protein_position_scores,
+    cohort_maf, conservation_scores, domain_overlap, downcast_doubles, expression_scores, merge_deleteriousness,
+    merge_pre_deleteriousness, merge_scores, missense_model_scores, promoter_scores, protein_position_scores,
+    regulatory_flags, splice_expression_scores,
 )
-from varloom.operators.start_lost import fetch_sequences, start_lost_distance
+from varloom.operators.start_lost import fetch_sequences, start_lost_distance, window_distances
 from varloom.operators.validate import (
     CardinalityError, NullKeyError, assert_no_nulls, duplicate_keys, null_counts, rows_with_duplicate_keys,
     validate_join,

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from varloom.functions.names import CARRIED, sanitise_names, table_columns
 from varloom.functions.text import info_value, missing_to_null
 
-DEFAULT_VCF_NAME = "dragen.gel.annotated.vcf.gz"
+DEFAULT_VCF_NAME = "*.annotated.vcf.gz"
 
 _PARENTS = r"/([^/]+)/([^/]+)/[^/]+$"
 
