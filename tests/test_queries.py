@@ -21,10 +21,10 @@ def duck():
 
 
 def test_every_query_has_a_check():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(spark_entry.QUERIES) == set(spark_entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry.QUERIES))
 def test_query(spark, duck, name):
     same, text = compare(spark, duck, SF_DIR, name)
     assert same, text
