@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from varloom.llm.common import read_documents
+from varloom.llm.packing import packed_sequences
+from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +18,18 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read_documents(spark, sf_dir), "word_bpe_49k.json", end_id=2)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_sequences(read_documents(spark, sf_dir), "byte_bpe_50k.json", end_id=0, size=1024)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_documents(spark, sf_dir), "byte_bpe_50k.json", limit=1024)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
+    "op5_packing": op5_packing,
+    "op6_token_counts": op6_token_counts,
 }
 
 #: DuckDB statements for the queries that SQL can express.
