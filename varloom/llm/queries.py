@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from varloom.llm.common import read_documents
 from varloom.llm.packing import packed_sequences
+from varloom.llm.quality import QUALITY_SQL, quality_report
 from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
 
@@ -26,11 +27,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_documents(spark, sf_dir), "byte_bpe_50k.json", limit=1024)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB statements for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_quality_rules": QUALITY_SQL,
+}
