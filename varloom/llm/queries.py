@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from varloom.llm.common import read_documents
 from varloom.llm.packing import packed_sequences
 from varloom.llm.quality import QUALITY_SQL, quality_report
+from varloom.llm.secrets import secret_report
 from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
 
@@ -19,6 +20,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read_documents(spark, sf_dir), "word_bpe_49k.json", end_id=2)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(read_documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(read_documents(spark, sf_dir), "byte_bpe_50k.json", end_id=0, size=1024)
 
@@ -33,6 +38,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
+    "op2_secret_scan": op2_secret_scan,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op10_quality_rules": op10_quality_rules,
