@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from varloom.llm.common import read_documents
+from varloom.llm.near_duplicates import near_duplicates
 from varloom.llm.packing import packed_sequences
 from varloom.llm.quality import QUALITY_SQL, quality_report
 from varloom.llm.secrets import secret_report
@@ -24,6 +25,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read_documents(spark, sf_dir))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_documents(spark, sf_dir), size=3, percent=85)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(read_documents(spark, sf_dir), "byte_bpe_50k.json", end_id=0, size=1024)
 
@@ -39,6 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
     "op2_secret_scan": op2_secret_scan,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op10_quality_rules": op10_quality_rules,
