@@ -11,6 +11,7 @@ from varloom.llm.near_duplicates import near_duplicates
 from varloom.llm.packing import packed_sequences
 from varloom.llm.quality import QUALITY_SQL, quality_report
 from varloom.llm.secrets import secret_report
+from varloom.llm.spot_signatures import fingerprint_report
 from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
 
@@ -29,6 +30,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_documents(spark, sf_dir), size=3, percent=85)
 
 
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(read_documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(read_documents(spark, sf_dir), "byte_bpe_50k.json", end_id=0, size=1024)
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
     "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_spot_signatures": op4_spot_signatures,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op10_quality_rules": op10_quality_rules,
