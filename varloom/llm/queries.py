@@ -11,6 +11,7 @@ from varloom.llm.near_duplicates import near_duplicates
 from varloom.llm.packing import packed_sequences
 from varloom.llm.quality import QUALITY_SQL, quality_report
 from varloom.llm.secrets import secret_report
+from varloom.llm.sharding import byte_shards
 from varloom.llm.spot_signatures import fingerprint_report
 from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
@@ -42,6 +43,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_documents(spark, sf_dir), "byte_bpe_50k.json", limit=1024)
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_shards(read_documents(spark, sf_dir), shards=8)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_documents(spark, sf_dir))
 
@@ -53,10 +58,12 @@ QUERIES: dict[str, Query] = {
     "op4_spot_signatures": op4_spot_signatures,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
+    "op8_sharding": op8_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB statements for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op8_sharding": op8_sharding,
     "op10_quality_rules": QUALITY_SQL,
 }
