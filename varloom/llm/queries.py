@@ -15,6 +15,7 @@ from varloom.llm.sharding import byte_shards
 from varloom.llm.spot_signatures import fingerprint_report
 from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
+from varloom.llm.url_rules import URL_SQL, judge_urls, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(read_documents(spark, sf_dir), shards=8)
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rule_table(spark))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_documents(spark, sf_dir))
 
@@ -59,11 +64,13 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op8_sharding": op8_sharding,
+    "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB statements for the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op8_sharding": op8_sharding,
+    "op9_url_filter": URL_SQL,
     "op10_quality_rules": QUALITY_SQL,
 }
