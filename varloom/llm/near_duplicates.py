@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.common import text_or_empty
@@ -97,11 +97,12 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_or_empty(text).alias("text"))
+    return docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_or_empty(text).alias("text"),
+                       F.xxhash64(text_or_empty(text)).alias("tie"))
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node (the set's key; null without words), signature."""
+    """doc_id, tie, n_shingles, node (the set's key; null without words), signature."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, nodes, signs = [], [], []
@@ -110,10 +111,10 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 counts.append(len(shingles))
                 nodes.append(set_key(shingles) if len(shingles) else None)
                 signs.append(signature(shingles).tobytes() if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
-                                              pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "node", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
+                                              pa.array(signs, pa.binary())], ["doc_id", "tie", "n_shingles", "node", "signature"])
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, node binary, signature binary")
+    return docs.mapInArrow(sign, "doc_id long, tie long, n_shingles long, node binary, signature binary")
 
 
 def bucket_keys(signs: np.ndarray, distance: int) -> np.ndarray:
@@ -308,29 +309,49 @@ def linked_pairs(sets: list[np.ndarray], percent: int, width: int = 4096) -> np.
     return 100 * common >= percent * union
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
-
-    Texts without words (null, empty, white space) are linked with nothing.
-    Repeated rows and equal texts are one class; a null id counts as the
-    smallest id inside and comes out as null. Each row is returned once.
-    """
-    keyed = _keyed(docs, doc_id, text)
+def classified(keyed: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signed rows of ``keyed`` (doc_id, text, tie), and (node, component, component_id) of every class."""
     signed = staged(signatures(keyed, size))
     distance = allowed_distance(percent)
     classes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature")))
     buckets = staged(shared_buckets(classes, distance))
     clusters = connected_components(candidate_links(buckets, classes, distance))
     members = clusters.join(classes, "node").select("node", F.col("first_id").alias("doc_id"), F.col("component").alias("cluster"))
-    found = connected_components(confirmed_links(keyed, members, size, percent))
+    found = connected_components(confirmed_links(keyed.select("doc_id", "text"), members, size, percent))
     grouped = found.join(classes.select("node", "first_id"), "node")
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = (classes.select("node", "first_id").join(found, "node", "left").join(smallest, "component", "left")
-                .select("node", F.coalesce("component_id", "first_id").alias("component_id")))
+    return signed, (classes.select("node", "first_id").join(found, "node", "left").join(smallest, "component", "left")
+                    .select("node", F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "first_id").alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
+
+    Texts without words (null, empty, white space) are linked with nothing.
+    Repeated rows and equal texts are one class; a null id counts as the
+    smallest id inside and comes out as null. Each row is returned once.
+    """
+    signed, of_class = classified(_keyed(docs, doc_id, text), size, percent)
     own: Column = F.coalesce("component_id", "doc_id")
     return (signed.select("doc_id", "n_shingles", "node").join(of_class, "node", "left")
             .select(_shown("doc_id").alias("doc_id"), "n_shingles", _shown(own).alias("component_id"), (F.col("doc_id") == own).alias("kept")))
 
 
+def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: the smallest id, of several rows with it one text, and that once.
+
+    Rows without words are groups of their own, except that rows with the same
+    id and text stay once. The texts are exchanged once more, by id.
+    """
+    signed, of_class = classified(_keyed(docs, doc_id, text), size, percent)
+    named = signed.select("doc_id", "tie", "node").join(of_class.select("node", "component"), "node", "left")
+    grouped = named.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "tie")).alias("first"))
+    stay = grouped.select("first.doc_id", "first.tie").union(named.where("component IS NULL").select("doc_id", "tie").distinct())
+    own = docs.withColumns({"_at": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)), "_tie": F.xxhash64(text_or_empty(text))})
+    once = own.withColumn("_row", F.row_number().over(Window.partitionBy("_at", "_tie").orderBy(F.lit(0)))).where("_row = 1")
+    return (once.join(stay.select(F.col("doc_id").alias("_at"), F.col("tie").alias("_tie")), ["_at", "_tie"], "left_semi")
+            .select(*[f"`{c}`" for c in docs.columns]))
+
+
 def _shown(value) -> Column:
     return F.nullif(value if isinstance(value, Column) else F.col(value), F.lit(_NO_ID))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varloom.llm.byte_bpe import bpe_report
 from varloom.llm.common import read_documents
 from varloom.llm.near_duplicates import near_duplicates
 from varloom.llm.packing import packed_sequences
@@ -44,6 +45,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_documents(spark, sf_dir), "byte_bpe_50k.json", limit=1024)
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_report(read_documents(spark, sf_dir), "byte_bpe_multi_50k.tiktoken")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(read_documents(spark, sf_dir), shards=8)
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op4_spot_signatures": op4_spot_signatures,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
