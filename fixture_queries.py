@@ -14,6 +14,7 @@ from varloom.functions.names import sanitise_names
 from varloom.functions.sequence import next_inframe_atg
 from varloom.operators import scores as score_merges
 from varloom.operators.expand import cast_fixed, expand_ann, expand_csq, null_tokens
+from varloom.sources.bgzf import read_bgzf_lines, write_bgzf
 from varloom.operators.start_lost import WINDOW, with_windows
 from varloom.staging import staged, staging_path
 
@@ -169,6 +170,51 @@ def read_vcf(spark, sf_dir):
     return v.convert_annotations(read, CSQ_NAMES, with_ann=False)
 
 
+def _records(sites: DataFrame):
+    """VCF record lines of raw sites, with the columns that name their folder."""
+    tags = [F.when(F.col(t).isNotNull(), F.concat(F.lit(f"{t}="), F.col(t))) for t in ("AC", "AN", "AF", "CSQ", "ANN")]
+    record = F.concat_ws("\t", "CHROM", "POS", F.lit("."), "REF", "ALT", "QUAL", "FILTER", F.concat_ws(";", *tags))
+    shard = F.concat(F.lit("shard-"), F.length("REF"))
+    subshard = F.concat(F.lit("subshard-"), F.pmod(F.col("POS").cast("long"), F.lit(2)))
+    return sites.select(record.alias("value"), shard.alias("shard"), subshard.alias("subshard"))
+
+
+def _release_files(spark: SparkSession, sf_dir: str) -> str:
+    """The sites as bgzipped VCF files with headers, a folder for each shard and subshard."""
+    records = _records(_sites(spark, sf_dir))
+    head = [f'##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequences. Format: {"|".join(CSQ_RAW)}">',
+            "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
+    folders = records.select("shard", "subshard").distinct()
+    headers = folders.select(F.posexplode(F.array(*map(F.lit, head))).alias("line", "value"), "shard", "subshard")
+    lines = headers.unionByName(records.withColumn("line", F.lit(9)))
+    path = staging_path(spark)
+    # One task for each folder, its header first.
+    ordered = lines.repartition("shard", "subshard").sortWithinPartitions("shard", "subshard", "line").select("value", "shard", "subshard")
+    write_bgzf(ordered, path, ("shard", "subshard")).count()
+    return path
+
+
+_RELEASE = f"""
+SELECT l.*, 'shard-' || CAST(length(REF) AS varchar) AS shard, 'subshard-' || CAST(POS % 2 AS varchar) AS subshard FROM ({_LONG}) AS l"""
+
+
+@query("read_bgzf", _RELEASE, ("variants",))
+def read_bgzf(spark, sf_dir):
+    """bgzipped files read in ranges of a few kilobytes."""
+    files = v.discover_files(spark, f"{_release_files(spark, sf_dir)}/*/*/*.gz")
+    read = v.read_sites(spark, [], lines=read_bgzf_lines(files, 20_000))
+    return v.convert_annotations(read, CSQ_NAMES, with_ann=False)
+
+
+@query("convert_release", _RELEASE, ("variants",))
+def convert_release(spark, sf_dir):
+    """Two runs of a release, one for each kind of subshard, then the published table."""
+    root, out = _release_files(spark, sf_dir), staging_path(spark)
+    for subshard in ("subshard-0", "subshard-*"):
+        v.convert_release(spark, root, out, subshards=subshard, vcf_name="*.vcf.gz", with_ann=False, split_bytes=20_000)
+    return v.read_published(spark, out)
+
+
 @query("read_tsv", "SELECT chrom, pos, nullif(qual, '.') AS qual, nullif(af, '.') AS af, nullif(ann, '.') AS ann FROM sites",
        ("sites",))
 def read_tsv(spark, sf_dir):
@@ -532,6 +578,16 @@ def join_variants(spark, sf_dir):
     return joined.select("CHROM", "POS", "REF", "ALT", "consequence", "feature", "sample")
 
 
+@query("join_variants_outer", f"""
+SELECT coalesce(l.CHROM, g.CHROM) AS CHROM, coalesce(l.POS, g.POS) AS POS, coalesce(l.REF, g.REF) AS REF, coalesce(l.ALT, g.ALT) AS ALT,
+  l.feature, g.sample FROM ({_LONG}) AS l FULL JOIN genotypes AS g
+  ON l.CHROM = g.CHROM AND l.POS = g.POS AND l.REF = g.REF AND l.ALT = g.ALT""", ("variants", "genotypes"))
+def join_variants_outer(spark, sf_dir):
+    long = v.convert_annotations(_sites(spark, sf_dir), CSQ_NAMES, with_ann=False)
+    joined = v.join_variants(long, fixture(spark, sf_dir, "genotypes"), "outer")
+    return joined.select("CHROM", "POS", "REF", "ALT", "feature", "sample")
+
+
 @query("downcast_doubles", "SELECT chrom, pos, CAST(phred AS float) AS phred, CAST(rawscore AS float) AS rawscore "
        "FROM deleteriousness_raw", ("deleteriousness_raw",))
 def downcast_doubles(spark, sf_dir):
@@ -641,7 +697,23 @@ def promoter_max_abs(spark, sf_dir):
     return v.promoter_scores(long, fixture(spark, sf_dir, "promoter_raw"))
 
 
-_FLAGS = v.operators.scores.DOMAIN_FLAGS
+@query("promoter_from_raw", """
+SELECT t.id, t.gene, t.feature, p.promoterai FROM long_table AS t LEFT JOIN (
+  SELECT id, gene, CASE WHEN max(promoterai) >= -min(promoterai) THEN max(promoterai) ELSE min(promoterai) END AS promoterai
+  FROM promoter_raw GROUP BY id, gene) AS p ON t.id = p.id AND t.gene = p.gene""", ("long_table", "promoter_raw"))
+def promoter_from_raw(spark, sf_dir):
+    """As above, the scores in the columns of their own files."""
+    long = fixture(spark, sf_dir, "long_table").select("id", "gene", "feature")
+    part = F.split("id", ":")
+    raw = fixture(spark, sf_dir, "promoter_raw").select(
+        part[0].alias("chrom"), part[1].cast("long").alias("pos"), part[2].alias("ref"), part[3].alias("alt"),
+        F.lit("name").alias("gene"), F.col("gene").alias("gene_id"), F.col("promoterai").alias("promoterAI"))
+    return v.promoter_scores(long, score_merges.normalise_promoter_scores(raw))
+
+
+# The flag columns as a domain table names them.
+_FLAGS = ("mobi_full_disorder_priority", "mobi_curated_disorder_priority", "mobi_full_lip_priority", "ted_domain",
+          "low_complexity_domain")
 
 
 @query("domain_overlap", f"""

@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit ... -m varloom <command>`` or ``python -m varloom <command>``."""
+"""Command line: ``python -m varloom <command>``, or the start script under spark-submit."""
 
 from __future__ import annotations
 

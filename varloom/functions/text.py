@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 MISSING_TOKENS = ("", ".")
 
 # A decimal literal, or nan/inf. Spark alone would also accept '12d' and ' 1 '.
-_DECIMAL = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))$"
-_INTEGER = r"^[+-]?[0-9]+$"
+_DECIMAL = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\z"
+_INTEGER = r"^[+-]?[0-9]+\z"
 
 
 def missing_to_null(value: Column) -> Column:

@@ -28,11 +28,14 @@ _FIXED_WIDTH = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows: text lengths counted, 16 bytes for any other cell."""
-    text = [c for c, t in df.dtypes if t == "string"]
-    width = F.lit(_FIXED_WIDTH * (len(df.columns) + 1))
-    for name in text:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    """Size of the rows: lengths of text and binary cells, nested cells as JSON, 16 bytes for every cell besides."""
+    width = F.lit(_FIXED_WIDTH * (len(df.columns) + 1)).cast("bigint")
+    for name, dtype in df.dtypes:
+        column = F.col(f"`{name}`")
+        if dtype in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+        elif dtype == "variant" or dtype.startswith(("array", "map", "struct")):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
@@ -48,8 +51,15 @@ def _in_order(joined: DataFrame, left: DataFrame, right: DataFrame, on: Sequence
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                 max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Equi-join to a table expected to be small, whatever its real size."""
+    """Equi-join to a table expected to be small, whatever its real size.
+
+    Join types and key types are checked first, so the size never decides
+    what is accepted.
+    """
     membership = how in ("left_semi", "left_anti")
+    if not membership and how not in ("inner", "left"):
+        raise ValueError(f"lookup_join supports inner, left, left_semi and left_anti, not {how!r}")
+    _check_key_types(left, right, on)
     if is_broadcastable(right, max_bytes):
         joined = left.join(F.broadcast(right), list(on), how)
         return joined if membership else _in_order(joined, left, right, on)
@@ -209,4 +219,11 @@ def join_variants(left: DataFrame, right: DataFrame, how: str = "inner",
         return balanced_membership(left, right, on, how)
     if how in ("inner", "left"):
         return balanced_join(left, right, on, how)
-    return left.join(right, list(on), how)
+    if how == "right":
+        return _in_order(balanced_join(right, left, on, "left"), left, right, on)
+    if how in ("outer", "full", "full_outer"):
+        # Every left row with its matches, and the right rows without one.
+        alone = balanced_membership(right, left, on, "left_anti")
+        matched = balanced_join(left, right, on, "left")
+        return matched.unionByName(alone, allowMissingColumns=True).select(*[f"`{c}`" for c in matched.columns])
+    raise ValueError(f"join_variants does not support {how!r}")

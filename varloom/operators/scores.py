@@ -52,14 +52,14 @@ def merge_scores(df: DataFrame, scores: DataFrame, on: Sequence[str], cardinalit
     return balanced_join(df, scores, on, "left", right_unique=unique)
 
 
-def merge_pre_deleteriousness(df: DataFrame, conservation: DataFrame, value: str = "gpn_score") -> DataFrame:
-    """One row per variant and transcript, nearest start first, with its score.
+def first_per_transcript(df: DataFrame) -> DataFrame:
+    """One row per variant and transcript, nearest start first."""
+    return keep_first(df, ["id", "feature"], [F.asc_nulls_last("dist_to_tss")])
 
-    Such pairs hardly ever repeat (genes on two contigs do), so only the
-    repeated ones are shuffled to choose from.
-    """
-    first = keep_first(df, ["id", "feature"], [F.asc_nulls_last("dist_to_tss")], rare_copies=True)
-    return merge_scores(first, conservation.select(*VARIANT_KEY, value), VARIANT_KEY)
+
+def merge_pre_deleteriousness(df: DataFrame, conservation: DataFrame, value: str = "gpn_score") -> DataFrame:
+    """One row per variant and transcript, nearest start first, with its score."""
+    return merge_scores(first_per_transcript(df), conservation.select(*VARIANT_KEY, value), VARIANT_KEY)
 
 
 def merge_deleteriousness(df: DataFrame, scores: DataFrame, columns: Sequence[str],
@@ -111,6 +111,12 @@ def cohort_maf(df: DataFrame, counts: DataFrame, n_samples: int) -> DataFrame:
     return merge_scores(df.drop("maf_cohort"), maf, ["id"], "m:1")
 
 
+def normalise_promoter_scores(scores: DataFrame) -> DataFrame:
+    """Promoter scores as their file lays them out, keyed by variant id and gene id."""
+    key = F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt")
+    return scores.select(key.alias("id"), F.col("gene_id").alias("gene"), F.col("promoterAI").alias("promoterai"))
+
+
 def promoter_scores(df: DataFrame, scores: DataFrame) -> DataFrame:
     """The promoter score of largest magnitude per variant and gene, sign kept.
 
@@ -132,43 +138,36 @@ def protein_position_scores(df: DataFrame, scores: DataFrame) -> DataFrame:
     return balanced_join(keyed, scores, ["region", "amino_acids", "prot_pos"], "left").drop("prot_pos")
 
 
+# The flag columns of a domain table.
 DOMAIN_FLAGS = (
     "mobi_full_disorder_priority", "mobi_curated_disorder_priority", "mobi_full_lip_priority",
     "ted_domain", "low_complexity_domain",
 )
 
-_DOMAIN_BIN = 64
-
 
 def domain_overlap(df: DataFrame, domains: DataFrame, flags: Sequence[str] = DOMAIN_FLAGS) -> DataFrame:
     """Does a variant's protein start or end lie in a domain, by ``id`` and ``region``.
 
     A flag is the maximum over the domains hit by any row of the variant and
-    region, false if none. Only distinct (region, residue) points meet the
-    domains, through bins of 64 residues, so neither a hot region nor a long
-    domain list is paired off in full.
+    region, false if none. Each domain gives its flags to its residues, which
+    are reduced to one row for each before they meet the variants, so neither
+    a hot region nor a long domain list is paired off in full.
     """
     if "protein_position" not in df.columns:
         return df
     span = F.split(slash_part(F.col("protein_position"), 0), "-")
     start = F.get(span, F.lit(0))
     ends = F.array(start, F.coalesce(F.get(span, F.lit(1)), start))
-    hits = staged(
+    hits = (
         df.where("protein_position is not null")
         .select("id", "region", F.explode(F.array_distinct(ends)).alias("residue"))
         .withColumn("residue", F.expr("try_cast(residue as int)"))
         .dropna().distinct()
     )
-    points = hits.select("region", "residue").distinct().withColumn("bin", F.floor(F.col("residue") / _DOMAIN_BIN))
-    spans = domains.where("domain_start <= domain_end").groupBy("region", "domain_start", "domain_end")
-    binned = spans.agg(*[F.max(f).alias(f) for f in flags]).withColumn("bin", F.explode(
-        F.sequence(F.floor(F.col("domain_start") / _DOMAIN_BIN), F.floor(F.col("domain_end") / _DOMAIN_BIN))))
-    # A (region, bin) has at most 64 points, so only the domain side can be heavy.
-    inside = balanced_join(points, binned, ["region", "bin"], "inner", left_unique=True).where(
-        F.col("residue").between(F.col("domain_start"), F.col("domain_end"))
-    )
-    per_point = inside.groupBy("region", "residue").agg(*[F.max(f).alias(f) for f in flags])
-    per_variant = balanced_join(hits, per_point, ["region", "residue"], "inner", right_unique=True) \
-        .groupBy("id", "region").agg(*[F.max(f).alias(f) for f in flags])
+    residues = F.explode(F.sequence(F.col("domain_start").cast("int"), F.col("domain_end").cast("int"))).alias("residue")
+    per_residue = (domains.where("domain_start <= domain_end").select("region", residues, *flags)
+                   .groupBy("region", "residue").agg(*[F.max(f).alias(f) for f in flags]))
+    per_variant = (hits.join(per_residue, ["region", "residue"]).groupBy("id", "region")
+                   .agg(*[F.max(f).alias(f) for f in flags]))
     merged = lookup_join(df, staged(per_variant), ["id", "region"])
     return merged.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags})

@@ -20,7 +20,7 @@ from varloom.sources.bgzf import DEFAULT_SPLIT, read_bgzf_lines, with_bgzf_flag
 from varloom.sources.vcf import (
     DEFAULT_VCF_NAME, discover_files, info_tags, read_field_names, read_sites, vcf_glob,
 )
-from varloom.staging import staged
+from varloom.staging import staged, staging_scope
 
 
 def convert_annotations(sites: DataFrame, names: Sequence[str], field: str = "CSQ",
@@ -53,32 +53,45 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
     """Convert every file not published yet; returns the schema groups.
 
     All headers, those of earlier runs included, must agree before any record
-    is read. The report is written in either case.
+    is read. The report is written in either case. The first run notes the
+    options and the table's columns; a later run that differs is refused. With
+    nothing new, nothing is written.
     """
+    options = {"field": field, "max_af": max_af, "max_ac": max_ac, "with_ann": with_ann,
+               "region": [region] if isinstance(region, str) else None if region is None else list(region)}
+    release = sinks.release_record(spark, outdir)
+    if release is not None:
+        sinks.same_release(release, options)
     found = discover_files(spark, vcf_glob(annotation_root, shards, subshards, vcf_name))
     published = sinks.published_files(spark, outdir)
-    todo = staged(sinks.unpublished(found, published))
-
-    fields_path = f"{outdir.rstrip('/')}/pipeline_info/fields"
-    read_field_names(todo, field).write.mode("overwrite").parquet(fields_path)
-    fields = spark.read.parquet(fields_path)
-    fresh = schema_hashes(fields, field)
-    without = todo.join(fields.select("shard", "subshard").distinct(), ["shard", "subshard"], "left_anti") \
-        .select("path").limit(5).collect()
-    if without:
-        raise ValueError(f"no {field} subfields in the header of {[r.path for r in without]}")
-
-    hashes = fresh if published is None else published.select(*fresh.columns).unionByName(fresh)
-    groups, report = check_schema(hashes)
-    names = _names_of(fields, fresh)
-    sinks.write_schema_report(
-        spark, outdir, hashes, groups, canonical_schema(spark, table_columns(names, field)), report)
-    enforce_one_schema(hashes)
-    if names:
+    with staging_scope(spark):
+        todo = staged(sinks.unpublished(found, published))
+        if published is not None and todo.isEmpty():
+            return check_schema(published.drop("run"))[0]
+        fields = staged(read_field_names(todo, field))
+        fresh = schema_hashes(fields, field)
+        without = todo.join(fields.select("shard", "subshard").distinct(), ["shard", "subshard"], "left_anti") \
+            .select("path").limit(5).collect()
+        if without:
+            raise ValueError(f"no {field} subfields in the header of {[r.path for r in without]}")
+
+        hashes = fresh if published is None else published.select(*fresh.columns).unionByName(fresh)
+        # The report needs its own copy: the staged headers go with this run.
+        hashes = spark.createDataFrame(hashes.collect(), hashes.schema)
+        groups, report = check_schema(hashes)
+        names = release["names"] if release is not None else _names_of(fields, fresh)
+        sinks.write_schema_report(
+            spark, outdir, hashes, groups, canonical_schema(spark, table_columns(names, field)), report)
+        enforce_one_schema(hashes)
         sites = read_release(spark, todo, info_tags(field), split_bytes)
         long = convert_annotations(sites, names, field, max_af, max_ac, region, with_ann)
+        if release is None:
+            sinks.open_release(spark, outdir, options, names, long)
+        else:
+            sinks.same_release(release, options, long.dtypes)
         run = uuid.uuid4().hex
         sinks.publish_annotations(long, outdir, run)
+        sinks.write_column_lists(spark, todo, table_columns(names, field), outdir, run)
         sinks.record_published(fresh, outdir, run)
     return groups
 
@@ -86,15 +99,13 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
 def read_release(spark: SparkSession, files: DataFrame, info: Sequence[str],
                  split_bytes: int = DEFAULT_SPLIT) -> DataFrame:
     """Site records of discovered files; bgzipped ones over ``split_bytes`` are read in ranges."""
-    listed = with_bgzf_flag(files.where(F.col("length") > split_bytes)).select("path", "is_bgzf").collect()
-    large = [row.path for row in listed if row.is_bgzf]
-    small = [row.path for row in files.select("path").collect() if row.path not in set(large)]
+    large = staged(with_bgzf_flag(files.where(F.col("length") > split_bytes)).where("is_bgzf").select("path", "length"))
+    small = [row.path for row in files.join(large, "path", "left_anti").select("path").collect()]
     parts = []
     if small:
         parts.append(read_sites(spark, small, info))
-    if large:
-        lines = read_bgzf_lines(files.where(F.col("path").isin(large)), split_bytes)
-        parts.append(read_sites(spark, large, info, lines))
+    if not large.isEmpty():
+        parts.append(read_sites(spark, [], info, read_bgzf_lines(large, split_bytes)))
     return reduce(DataFrame.unionByName, parts)
 
 

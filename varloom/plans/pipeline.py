@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varloom.functions.keys import VARIANT_KEY
+from varloom.functions.names import ANN_COLUMNS
 from varloom.operators.dedupe import variant_metadata
 from varloom.operators.fill import fill_nulls
 from varloom.operators.row_features import lower_columns, tss_table
-from varloom.operators.scores import conservation_scores, merge_deleteriousness, merge_pre_deleteriousness
+from varloom.operators.scores import conservation_scores, first_per_transcript, merge_deleteriousness, merge_scores
 from varloom.plans.features import process_vep
 from varloom.sources import reference_data, tables
 from varloom.sources.sinks import write_table
+from varloom.staging import staging_scope
 
 
 @dataclass
@@ -54,39 +57,51 @@ def run_pipeline(spark: SparkSession, config: FeatureConfig) -> DataFrame:
     """
     out = config.outdir.rstrip("/")
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{out}/{name}", mode="overwrite")
+    def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with staging_scope(spark):
+            write_table(build(), f"{out}/{name}", mode="overwrite")
         return spark.read.parquet(f"{out}/{name}")
 
     if config.published is not None:
-        annotations = tables.read_published(spark, config.published).drop("shard", "subshard")
+        annotations = without_ann(tables.read_published(spark, config.published).drop("shard", "subshard"))
     else:
-        annotations = tables.concat_annotations(spark, config.roots)
-        annotations = stage("annotations", annotations)
-    stage("variant_metadata", variant_metadata(lower_columns(annotations)))
+        annotations = stage("annotations", lambda: without_ann(tables.concat_annotations(spark, config.roots)))
+    stage("variant_metadata", lambda: variant_metadata(lower_columns(annotations)))
 
     chunks = None
     if config.fasta is not None:
-        chunks = stage("genome_chunks", reference_data.read_fasta_chunks(spark, config.fasta))
+        chunks = stage("genome_chunks", lambda: reference_data.read_fasta_chunks(spark, config.fasta))
     matrix = None
     if config.substitution_matrix is not None:
         matrix = reference_data.read_substitution_matrix(spark, config.substitution_matrix)
     genes = None if config.gene_list is None else tables.read_gene_list(spark, config.gene_list)
 
-    table = stage("vep_processed", process_vep(
+    table = stage("vep_processed", lambda: process_vep(
         annotations, tss_table(reference_data.read_gtf(spark, config.gtf)), matrix, chunks,
         reference_data.DEFAULT_CHUNK, genes, config.biotypes, config.consequence_sep, config.spliceai_sep,
         config.vocabulary, config.sanity_check))
+    # One row per variant and transcript, whatever is merged after it.
+    table = stage("first_rows", lambda: first_per_transcript(table))
 
     if config.conservation is not None:
         value = config.conservation_value
-        scored = stage("conservation", conservation_scores(table, spark.read.parquet(config.conservation), value))
-        table = stage("pre_deleteriousness", merge_pre_deleteriousness(table, scored, value))
+        scored = stage("conservation", lambda: conservation_scores(table, spark.read.parquet(config.conservation), value))
+        table = stage("pre_deleteriousness", lambda: merge_scores(table, scored.select(*VARIANT_KEY, value), VARIANT_KEY))
     if config.deleteriousness is not None:
         scores = tables.normalise_score_keys(
             spark.read.parquet(config.deleteriousness), **config.deleteriousness_keys)
-        table = stage("merged", merge_deleteriousness(
+        table = stage("merged", lambda: merge_deleteriousness(
             table, scores, config.deleteriousness_columns, config.dedupe))
     if config.fill is not None:
-        table = stage("final", fill_nulls(table, config.fill, config.keep))
+        table = stage("final", lambda: fill_nulls(table, config.fill, config.keep))
     return table
+
+
+def without_ann(table: DataFrame) -> DataFrame:
+    """The long table without the packed or expanded ANN part: no feature needs it, and it multiplies rows.
+
+    The expanded fields stand behind the variant id; fields of the same name
+    before it belong to the other annotation.
+    """
+    after_id = table.columns.index("ID") if "ID" in table.columns else len(table.columns)
+    return table.drop("ANN", *[c for c in table.columns[after_id + 1:] if c in ANN_COLUMNS])

@@ -81,13 +81,36 @@ _FIELD_NAMES_SCHEMA = T.StructType([
 ])
 
 
+# Schemes that Hadoop and Arrow name differently, and those Arrow opens itself.
+_SAME_STORE = {"s3a": "s3", "s3n": "s3"}
+_ARROW_SCHEMES = ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
+
+
+def input_location(path: str) -> tuple[str, bool]:
+    """The URI or path that Arrow opens, and whether its own reader knows the scheme."""
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):/", path)
+    if scheme is None:
+        return path, True
+    name = scheme.group(1).lower()
+    if name == "file":
+        return "/" + path[len("file:"):].lstrip("/"), True
+    name = _SAME_STORE.get(name, name)
+    return name + path[len(scheme.group(1)):], name in _ARROW_SCHEMES
+
+
 def open_input(path: str):
-    """Open a file by path or URI on an executor, for random access."""
+    """Open a file by path or URI on an executor, for random access.
+
+    Schemes that Arrow does not know go through the Hadoop client library, as
+    Spark's readers do.
+    """
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    place, known = input_location(path)
+    if known:
+        filesystem, inner = fs.FileSystem.from_uri(place)
+    else:
+        filesystem, inner = fs.HadoopFileSystem.from_uri(re.match(r"[^:]+://[^/]*", place).group()), place
     return filesystem.open_input_file(inner)
 
 

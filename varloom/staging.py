@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: list[str] = []
+_scopes: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -34,5 +37,24 @@ def staged(df: DataFrame) -> DataFrame:
     skew checks read single columns instead of recomputing the plan.
     """
     path = staging_path(df.sparkSession)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in any store that Spark reaches; nothing happens if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, so write what depends on them before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove_path(spark, path)
