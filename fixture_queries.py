@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 import varloom as v
 from fixture_tables import CSQ_RAW, fixture, with_tables
 from varloom.functions.keys import VARIANT_KEY, contig_rank, with_chr, without_chr
-from varloom.functions.names import sanitise_names
 from varloom.functions.sequence import next_inframe_atg
 from varloom.operators import scores as score_merges
 from varloom.operators.expand import cast_fixed, expand_ann, expand_csq, null_tokens
@@ -21,7 +20,12 @@ from varloom.staging import staged, staging_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-CSQ_NAMES = sanitise_names(CSQ_RAW)
+# The column names written out, so that the checks do not take them from the code under test.
+CSQ_NAMES = ["allele", "consequence", "gene", "feature", "biotype", "strand", "cds_position", "amino_acids", "lof",
+             "spliceai_pred", "af_2"]
+_ANN_NAMES = ["allele", "annotation", "annotation_impact", "gene_name", "gene_id", "feature_type", "feature_id",
+              "transcript_biotype", "rank", "hgvs_c", "hgvs_p", "cdna_pos_cdna_length", "cds_pos_cds_length",
+              "aa_pos_aa_length", "distance", "errors_warnings_info"]
 LABELS = ["missense_variant", "splice_region_variant", "start_lost", "synonymous_variant"]
 CHUNK = 32
 
@@ -52,7 +56,7 @@ _FIXED = """CASE WHEN chrom NOT LIKE 'chrUn%' THEN chrom END AS CHROM, CAST(pos
 _FIXED_NAMES = "CHROM, POS, REF, ALT, QUAL, FILTER, AC, AN, AF"
 _ID = "CHROM || ':' || CAST(POS AS varchar) || ':' || REF || ':' || ALT AS ID"
 _CSQ_FIELDS = ", ".join(f"nullif(p[{i + 1}], '') AS {n}" for i, n in enumerate(CSQ_NAMES))
-_ANN_FIELDS = {name: f"nullif(q[{i + 1}], '') AS {name}" for i, name in enumerate(v.operators.expand.ANN_COLUMNS)}
+_ANN_FIELDS = {name: f"nullif(q[{i + 1}], '') AS {name}" for i, name in enumerate(_ANN_NAMES)}
 _NO_STAR = "NOT list_contains(string_split(alt, ','), '*')"
 _ANN_ENTRIES = "CASE WHEN ANN IS NULL THEN [NULL] ELSE string_split(ANN, ',') END"
 
@@ -669,13 +673,15 @@ def pre_deleteriousness(spark, sf_dir):
     return v.merge_pre_deleteriousness(table, staged(scores))
 
 
-@query("feature_table", _fill_sql(_delete_join(
+_FEATURES = _fill_sql(_delete_join(
     _PRE.replace("f.*", "f.* REPLACE (CAST(f.af AS float) AS af)")),
     "coalesce(phred, 0) AS phred, coalesce(CAST(gpn_score AS float), 0) AS gpn_score,") .replace(
         "CAST(lof IS NULL AS tinyint) AS lof_is_na",
         "CAST(lof IS NULL AS tinyint) AS lof_is_na, CAST(phred IS NULL AS tinyint) AS phred_is_na, "
-        "CAST(gpn_score IS NULL AS tinyint) AS gpn_score_is_na"),
-       (*_VEP_TABLES, "conservation_raw", "deleteriousness_raw"))
+        "CAST(gpn_score IS NULL AS tinyint) AS gpn_score_is_na")
+
+
+@query("feature_table", _FEATURES, (*_VEP_TABLES, "conservation_raw", "deleteriousness_raw"))
 def feature_table(spark, sf_dir):
     """All stages after the long table: features, score merges, fill."""
     scores = v.normalise_score_keys(fixture(spark, sf_dir, "deleteriousness_raw"), gene="geneid")
@@ -685,6 +691,37 @@ def feature_table(spark, sf_dir):
     return v.fill_nulls(merged, spec, [*_KEEP[:-1], "phred", "gpn_score"])
 
 
+@query("run_pipeline", _FEATURES, (*_VEP_TABLES, "conservation_raw", "deleteriousness_raw"))
+def run_pipeline(spark, sf_dir):
+    """The same build by the job itself, from files: annotation folders, GTF, FASTA, matrix, gene list, scores."""
+    path = staging_path(spark)
+    fixture(spark, sf_dir, "long_table").write.parquet(f"{path}/in/shard-1/subshard-1/annotations.parquet")
+    attributes = F.format_string('gene_id "%s"; gene_type "%s";', "gene_id", "gene_type")
+    dot = F.lit(".")
+    fixture(spark, sf_dir, "gtf_genes").select(F.concat_ws(
+        "\t", "seqname", F.lit("TEST"), "feature", "start1", "end1", dot, "strand", dot, attributes)).write.text(f"{path}/genes.gtf")
+    genome = fixture(spark, sf_dir, "genome_chunks")
+    headers = genome.select("contig").distinct().select(
+        "contig", F.lit(-1).cast("bigint").alias("chunk"), F.concat(F.lit(">"), "contig").alias("seq"))
+    ordered = genome.unionByName(headers).repartition("contig").sortWithinPartitions("contig", "chunk")
+    ordered.select("contig", F.col("seq").alias("value")).write.partitionBy("contig").text(f"{path}/genome")
+    cells = fixture(spark, sf_dir, "substitution_matrix").where("ref_aa >= alt_aa")
+    triangle = cells.groupBy("ref_aa").agg(F.sort_array(F.collect_list(F.struct("alt_aa", "blosum62"))).alias("row")).select(
+        "ref_aa", F.concat_ws(" ", F.transform("row", lambda c: c.blosum62.cast("int").cast("string"))).alias("line"))
+    whole = triangle.agg(F.sort_array(F.collect_list(F.struct("ref_aa", "line"))).alias("rows")).select(F.concat(
+        F.concat_ws(" ", F.transform("rows", lambda r: r.ref_aa)), F.lit("\n"), F.concat_ws("\n", F.transform("rows", lambda r: r.line))))
+    whole.coalesce(1).write.text(f"{path}/matrix")
+    fixture(spark, sf_dir, "genes_to_keep").select(F.col("gene").alias("gene_id")).write.parquet(f"{path}/genes")
+    fixture(spark, sf_dir, "conservation_raw").write.parquet(f"{path}/conservation")
+    fixture(spark, sf_dir, "deleteriousness_raw").write.parquet(f"{path}/scores")
+    return v.run_pipeline(spark, v.FeatureConfig(
+        outdir=f"{path}/out", gtf=f"{path}/genes.gtf", roots=[f"{path}/in"], fasta=f"{path}/genome/*/*.txt",
+        substitution_matrix=f"{path}/matrix", gene_list=f"{path}/genes", biotypes=["protein_coding", "lncRNA"], vocabulary=LABELS,
+        conservation=f"{path}/conservation", deleteriousness=f"{path}/scores", deleteriousness_columns=["phred", "rawscore"],
+        deleteriousness_keys={"chrom": "chrom", "pos": "pos", "ref": "ref", "alt": "alt", "gene": "geneid"},
+        fill={**_SPEC, "phred": [0], "gpn_score": [0]}, keep=[*_KEEP[:-1], "phred", "gpn_score"]))
+
+
 # ── Merges the reference keeps switched off ────────────────────────────────
 
 
