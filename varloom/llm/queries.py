@@ -76,7 +76,6 @@ QUERIES: dict[str, Query] = {
 
 #: DuckDB statements for the queries that SQL can express.
 ORACLES: dict[str, str] = {
-    "op8_sharding": op8_sharding,
     "op9_url_filter": URL_SQL,
     "op10_quality_rules": QUALITY_SQL,
 }
