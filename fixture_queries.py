@@ -219,6 +219,40 @@ def convert_release(spark, sf_dir):
     return v.read_published(spark, out)
 
 
+_HEADER_VALUES = ", ".join(f"({i}, '{raw}', '{name}')" for i, (raw, name) in enumerate(zip(CSQ_RAW, CSQ_NAMES)))
+
+
+@query("read_headers", f"""
+SELECT f.shard, f.subshard, CAST(h.position AS int) AS position, h.raw, h.name
+FROM (SELECT DISTINCT 'shard-' || CAST(length(ref) AS varchar) AS shard, 'subshard-' || CAST(CAST(pos AS bigint) % 2 AS varchar) AS subshard
+      FROM variants) AS f, (VALUES {_HEADER_VALUES}) AS h(position, raw, name)""", ("variants",))
+def read_headers(spark, sf_dir):
+    """Discovered files and the subfields that their headers name."""
+    files = v.discover_files(spark, f"{_release_files(spark, sf_dir)}/*/*/*.gz")
+    return v.read_field_names(files).drop("path")
+
+
+@query("column_list", f"""
+SELECT f.shard, f.subshard, c.name
+FROM (SELECT DISTINCT 'shard-' || CAST(length(ref) AS varchar) AS shard, 'subshard-' || CAST(CAST(pos AS bigint) % 2 AS varchar) AS subshard
+      FROM variants) AS f,
+  (VALUES {', '.join(f"('{c}')" for c in ["CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "AC", "AN", "AF", "ANN", *CSQ_NAMES])}) AS c(name)""",
+       ("variants",))
+def column_list(spark, sf_dir):
+    """The column list that a release writes for each subshard."""
+    root, out = _release_files(spark, sf_dir), staging_path(spark)
+    v.convert_release(spark, root, out, vcf_name="*.vcf.gz", with_ann=False)
+    return spark.read.text(f"{out}/pipeline_info/columns/*").select("shard", "subshard", F.col("value").alias("name"))
+
+
+@query("gene_list", "SELECT DISTINCT gene FROM genes_to_keep", ("genes_to_keep",))
+def gene_list(spark, sf_dir):
+    path = staging_path(spark)
+    genes = fixture(spark, sf_dir, "genes_to_keep")
+    genes.unionByName(genes).select(F.col("gene").alias("gene_id"), F.lit(1).alias("other")).write.parquet(path)
+    return v.read_gene_list(spark, path)
+
+
 @query("read_tsv", "SELECT chrom, pos, nullif(qual, '.') AS qual, nullif(af, '.') AS af, nullif(ann, '.') AS ann FROM sites",
        ("sites",))
 def read_tsv(spark, sf_dir):
