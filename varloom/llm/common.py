@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> I
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:
