@@ -108,24 +108,19 @@ def _any_null(on: Sequence[str]) -> Column:
 def heavy_keys(df: DataFrame, on: Sequence[str]) -> HeavyKeys:
     """Keys holding at least twice the fair share of one shuffle partition.
 
-    One pass over the key columns: hashes are counted per task before they are
-    shuffled, 16 bytes each, and small counts fold into one row. At most half
-    as many keys as partitions can reach the limit, which bounds what comes
-    back to the driver.
+    The row count sets the limit; then one pass over the key columns counts
+    hashes, per task before they are shuffled, 16 bytes each. At most half as
+    many keys as partitions can reach the limit, which bounds what comes back
+    to the driver. Tables below the limit need no pass.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hashes = df.select(F.when(~_any_null(on), F.xxhash64(*on)).alias("h"))
-    counts = hashes.groupBy("h").agg(F.count("*").alias("n"))
-    small = F.col("n") < MIN_HEAVY_ROWS
-    folded = staged(
-        counts.select(F.when(~small, F.col("h")).alias("h"), small.alias("small"), "n")
-        .groupBy("h", "small").agg(F.sum("n").alias("n"))
-    )
-    total = folded.agg(F.sum("n")).first()[0] or 0
+    # Reads no column, and of a stored table only the footers.
+    total = df.count()
     limit = max(MIN_HEAVY_ROWS, 2 * total / partitions)
     if total < limit:
         return HeavyKeys({})
-    counted = folded.where(~F.col("small") & (F.col("n") >= limit)).collect()
+    hashes = df.select(F.when(~_any_null(on), F.xxhash64(*on)).alias("h"))
+    counted = hashes.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= limit).collect()
 
     def pieces(rows: int) -> int:
         # Half a partition's fair share for each piece, rounded up to a power of two.
