@@ -72,6 +72,23 @@ def test_from_vcf_to_features(spark, inputs, tmp_path):
     assert meta.count() == 4 and meta.columns == ["id", "chrom", "pos", "ref", "alt"]
 
 
+def test_one_row_per_transcript_with_any_scores(spark, inputs, tmp_path):
+    """Repeated rows go whether or not a conservation table is given, and further scores can be asked for."""
+    convert_release(spark, str(inputs / "vcf"), str(tmp_path / "long"))
+    spark.createDataFrame([("chr1", 201, "A", "G", "N", "ENSG1", -0.5), ("chr1", 201, "A", "G", "N", "ENSG1", 0.2)],
+                          "chrom string, pos long, ref string, alt string, gene string, gene_id string, promoterAI double") \
+        .write.parquet(str(tmp_path / "promoter"))
+    spark.createDataFrame([("chr1:201:A:G", 3)], "id string, mac_cohort int").write.parquet(str(tmp_path / "counts"))
+    final = run_pipeline(spark, FeatureConfig(
+        outdir=str(tmp_path / "features"), gtf=str(inputs / "genes.gtf"), published=str(tmp_path / "long"),
+        deleteriousness=str(inputs / "scores"), deleteriousness_columns=["phred"],
+        extra_scores=[{"kind": "promoter", "path": str(tmp_path / "promoter")},
+                      {"kind": "cohort_maf", "path": str(tmp_path / "counts"), "n_samples": 10}]))
+    found = final.select("id", "feature", "promoterai", "maf_cohort").collect()
+    assert len({(r.id, r.feature) for r in found}) == len(found) == 5
+    assert {(r.feature, r.promoterai, r.maf_cohort) for r in found if r.id == "chr1:201:A:G"} == {("T1", -0.5, 0.15), ("T2", -0.5, 0.15)}
+
+
 def test_command_line(spark, inputs, tmp_path, capsys):
     main(["convert", "--annotation-root", str(inputs / "vcf"), "--outdir", str(tmp_path / "out"),
           "--max-af", "0.1", "--packed-ann", "--region", "chr1:1-250"])

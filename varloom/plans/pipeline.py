@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from varloom.functions.keys import VARIANT_KEY
 from varloom.functions.names import ANN_COLUMNS
+from varloom.operators import scores as score_merges
 from varloom.operators.dedupe import variant_metadata
 from varloom.operators.fill import fill_nulls
 from varloom.operators.row_features import lower_columns, tss_table
@@ -20,6 +21,18 @@ from varloom.sources.sinks import write_table
 from varloom.staging import staging_scope
 
 
+EXTRA_SCORES: dict[str, Callable[[DataFrame, DataFrame, Mapping[str, Any]], DataFrame]] = {
+    "splice_expression": lambda table, scores, extra: score_merges.splice_expression_scores(table, scores),
+    "expression": lambda table, scores, extra: score_merges.expression_scores(table, scores),
+    "missense_model": lambda table, scores, extra: score_merges.missense_model_scores(table, scores),
+    "regulatory": lambda table, scores, extra: score_merges.regulatory_flags(table, scores, extra["columns"]),
+    "cohort_maf": lambda table, scores, extra: score_merges.cohort_maf(table, scores, extra["n_samples"]),
+    "promoter": lambda table, scores, extra: score_merges.promoter_scores(table, score_merges.normalise_promoter_scores(scores)),
+    "protein_position": lambda table, scores, extra: score_merges.protein_position_scores(table, scores),
+    "domains": lambda table, scores, extra: score_merges.domain_overlap(table, scores),
+}
+
+
 @dataclass
 class FeatureConfig:
     """Inputs of ``run_pipeline``; a stage whose input is not given is skipped."""
@@ -44,6 +57,9 @@ class FeatureConfig:
         "chrom": "#Chrom", "pos": "Pos", "ref": "Ref", "alt": "Alt", "gene": "GeneID"})
     deleteriousness_columns: Sequence[str] = ()
     dedupe: str | None = None
+    # Further merges in this order: kind (a key of EXTRA_SCORES), path of a
+    # Parquet table, and what else the kind needs (columns, n_samples).
+    extra_scores: Sequence[Mapping[str, Any]] = ()
     fill: Mapping[str, Sequence[Any]] | None = None
     keep: Sequence[str] = ()
 
@@ -92,6 +108,9 @@ def run_pipeline(spark: SparkSession, config: FeatureConfig) -> DataFrame:
             spark.read.parquet(config.deleteriousness), **config.deleteriousness_keys)
         table = stage("merged", lambda: merge_deleteriousness(
             table, scores, config.deleteriousness_columns, config.dedupe))
+    for number, extra in enumerate(config.extra_scores, start=1):
+        scores = spark.read.parquet(extra["path"])
+        table = stage(f"extra_{number}", lambda: EXTRA_SCORES[extra["kind"]](table, scores, extra))
     if config.fill is not None:
         table = stage("final", lambda: fill_nulls(table, config.fill, config.keep))
     return table
