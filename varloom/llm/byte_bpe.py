@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm.common import byte_slices, text_or_empty, tokenizer_path
-from varloom.llm.encoding import CACHE_CHUNKS, ChunkEncoder
+from varloom.llm.encoding import CACHE_CHUNKS, ChunkEncoder, plain_letters
 from varloom.llm.quality import let
 from varloom.staging import staged, staging_path
 
@@ -39,8 +39,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Longer words go to the library in the second pass: the fold takes a step for each byte.
 LONGEST_FOLD = 128
 
-BUCKETS = 8192
-BATCH_BYTES = 8 << 20
+BUCKETS = 16384
+BATCH_BYTES = 6 << 20
 _NONE = 2**31 - 1
 
 
@@ -108,6 +108,9 @@ class WordChunks(ChunkEncoder):
         self.marks = {mark: self._library(mark) for mark in ".,"}
 
     def _encode(self, chunk: str) -> bytes:
+        # Letters with or without a space before them are one word.
+        if plain_letters(chunk[1:] if chunk[:1] == " " else chunk):
+            return self.of_word(chunk)
         return self._library(chunk)
 
     def _library(self, chunk: str) -> bytes:

@@ -57,7 +57,7 @@ class ChunkEncoder(dict):
     def _encode(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        if _plain(chunk[1:] if chunk[0] == " " else chunk):
+        if plain_letters(chunk[1:] if chunk[0] == " " else chunk):
             return self._word(chunk)
         return self._library(chunk)
 
@@ -81,7 +81,7 @@ class ChunkEncoder(dict):
         head = tail = b""
         if chunk[:1] == _LINE and not self.drops_space:
             head, chunk, before = self.line, chunk[1:], ""
-        if chunk[-1:] in self.marks and len(chunk) > 1 and _plain(chunk[-2]):
+        if chunk[-1:] in self.marks and len(chunk) > 1 and plain_letters(chunk[-2]):
             chunk, tail = chunk[:-1], self.marks[chunk[-1]]
         if self.drops_space and chunk.isascii() and "<|" not in chunk:
             chunk = chunk.lower()
@@ -175,7 +175,7 @@ def _pieces(text: str):
     yield text[start:]
 
 
-def _plain(word: str) -> bool:
+def plain_letters(word: str) -> bool:
     """Letters only, which stay letters when folded."""
     return _LETTERS(word) is not None
 
