@@ -256,7 +256,8 @@ def read_token_files(spark, folder: str) -> DataFrame:
                     "n_tokens": pa.array(ends - begins), "ids_crc32": pa.array(crc, pa.int64()),
                     "file": [row["path"]] * (j - i)})
 
-    return (placed.select("path", "before").repartition(F.col("path"))
+    # The list is small but each file is a task's work: the number keeps the rows apart.
+    return (placed.select("path", "before").repartition(max(1, files.count()), "path")
             .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, file string"))
 
 
