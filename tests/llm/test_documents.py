@@ -228,6 +228,22 @@ def test_fingerprints(spark, edge_docs, no_docs):
     assert [(r.n_chars, r.near_next) for r in alone] == [(11, 1.0)]
 
 
+@pytest.mark.parametrize("anchors", [[], [7], [0, 95, 399], [399]])
+def test_fingerprints_cover_texts_with_few_common_words(spark, anchors):
+    words = [f"item{i}" for i in range(400)]
+    for at in anchors:
+        words[at] = "the"
+    # The other text begins with common words, which the edited text takes over.
+    docs = [(2, " ".join(words)), (1, " ".join(f"the other{i} of text{i}" for i in range(300)))]
+    found = {r.doc_id: r for r in fingerprint_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    # Two thirds of the text are kept, about half of the union of both sets.
+    assert len(hashes_of(found[2].fingerprint)) > 380 and 0.4 < found[2].near_edited < 0.7
+    # Any word changed changes the fingerprint, and only around it.
+    whole = spot_hashes(" ".join(words))
+    for at in set(range(0, 400, 13)) - set(anchors):
+        assert 0.97 < likeness(whole, spot_hashes(" ".join([*words[:at], "changed", *words[at + 1:]]))) < 1
+
+
 def test_similar_fingerprints(spark):
     docs = spark.createDataFrame([(d, "the " + t.replace(" ", " of ")) for d, t in near_copies(120)], "doc_id long, text string")
     prints = document_fingerprints(docs)

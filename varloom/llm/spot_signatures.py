@@ -1,9 +1,10 @@
 """Document fingerprints from spot signatures, compared by pruned Jaccard.
 
 A spot signature is a common word and the chain of content words that follows
-it. Its hashes, as a set, are the fingerprint: frequent words mark running
-prose, so navigation and boilerplate hardly count. Fingerprints are text (see
-``fingerprint``), so they can be stored, joined and compared later.
+it. Its hashes, as a set, are the fingerprint, with those of word runs where
+common words are too rare for chains to cover the text (lists, tables, other
+languages). Fingerprints are text (see ``fingerprint``), so they can be stored,
+joined and compared later.
 """
 
 from __future__ import annotations
@@ -39,9 +40,10 @@ _HASHES = WordHashes()
 def spot_hashes(text: str, chain: int = CHAIN) -> np.ndarray:
     """Sorted distinct 32-bit hashes of the text's spot signatures.
 
-    A text without any (no common word with a chain behind it) uses every run
-    of ``chain`` + 1 words instead, a shorter one all its words, so that any
-    text with a word has a fingerprint.
+    Where no chain reaches, every run of ``chain`` + 1 such words is hashed too
+    (of a shorter text all its words), so that the hashes stand for the whole
+    text but stretches of at most ``chain`` words between chains. The rule is
+    local: an edit changes the hashes around it and no others.
     """
     words = [w.encode() for w in _WORD.findall(text.lower())]
     if not words:
@@ -53,18 +55,23 @@ def spot_hashes(text: str, chain: int = CHAIN) -> np.ndarray:
     first = np.searchsorted(content, anchors)
     full = first + chain <= len(content)
     anchors, first = anchors[full], first[full]
-    if len(anchors):
-        mixed = hashes[anchors]
-        links = [hashes[content[first + k]] for k in range(chain)]
-    else:
-        size = min(chain + 1, len(words))
-        count = len(words) - size + 1
-        mixed = np.full(count, size, np.uint64)
-        links = [hashes[k:k + count] for k in range(size)]
+    spots = _mixed(hashes[anchors], [hashes[content[first + k]] for k in range(chain)])
+    # Chains open minus chains closed before each word.
+    after = content[first + chain - 1] + 1
+    bare = np.cumsum(np.bincount(anchors, minlength=len(words) + 1) - np.bincount(after, minlength=len(words) + 1))[:-1] == 0
+    size = min(chain + 1, len(words))
+    count = len(words) - size + 1
+    starts = np.flatnonzero(np.logical_and.reduce([bare[k:k + count] for k in range(size)]))
+    runs = _mixed(np.full(len(starts), size, np.uint64), [hashes[starts + k] for k in range(size)])
+    return np.unique((np.concatenate([spots, runs]) >> np.uint64(16)).astype(np.uint32))
+
+
+def _mixed(start: np.ndarray, links: list[np.ndarray]) -> np.ndarray:
+    mixed = start
     for link in links:
         mixed = (mixed ^ link) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    return np.unique((mixed >> np.uint64(16)).astype(np.uint32))
+    return mixed
 
 
 def fingerprint(hashes: np.ndarray) -> str:
