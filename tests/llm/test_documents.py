@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import sha, texts_of
 
@@ -180,6 +181,42 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert sorted(tuple(r)[:3] for r in found) == sorted(brute_components(pairs, 3, 85))
 
 
+def test_near_duplicates_in_blocks_of_bytes(spark, monkeypatch):
+    monkeypatch.setattr(nd, "CLUSTER_BYTES", 4_000)
+    tasks, whole = [], nd.in_blocks
+    monkeypatch.setattr(nd, "in_blocks", lambda *args: tasks.append(whole(*args)) or tasks[-1])
+    pairs = near_copies(150)
+    found = near_duplicates(spark.createDataFrame(pairs, "doc_id long, text string"), 3, 85).collect()
+    assert sorted(tuple(r)[:3] for r in found) == sorted(brute_components(pairs, 3, 85))
+    # A cluster of about a hundred sets of 118 shingles, dealt by bytes to blocks of about four.
+    held = tasks[-1].groupBy("cluster", "i", "j").sum("n_bytes").collect()
+    assert len(held) > 100 and max(r["sum(n_bytes)"] for r in held) < 40_000
+
+
+def test_groups_come_whole_or_not_at_all(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"g": [1, 1], "s": [b"a", b"b"]}), pa.RecordBatch.from_pydict({"g": [1, 2], "s": [b"c", b"d"]})]
+    found = list(nd._groups(iter(batches), ["g"]))
+    assert [b.column("s").to_pylist() for b in found] == [[b"a", b"b", b"c"], [b"d"]]
+    assert found[0].schema.field("s").type == pa.large_binary()
+
+    class Split:
+        """A table whose batches stay apart, as Arrow leaves a binary column over 2 GiB."""
+        from_batches = staticmethod(lambda parts: Split(parts))
+
+        def __init__(self, parts):
+            self.parts = parts
+
+        def combine_chunks(self):
+            return self
+
+        def to_batches(self):
+            return self.parts
+
+    monkeypatch.setattr(nd.pa, "Table", Split)
+    with pytest.raises(RuntimeError):
+        list(nd._groups(iter(batches), ["g"]))
+
+
 def test_near_duplicates_of_edge_cases(edge_docs, no_docs):
     found = near_duplicates(edge_docs, 3, 85).collect()
     assert Counter(tuple(r)[:3] for r in found) == Counter(brute_components(texts_of(), 3, 85))

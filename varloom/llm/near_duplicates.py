@@ -36,6 +36,8 @@ DEVIATIONS = 5
 #: Most members that are compared in one task at once.
 BUCKET_BLOCK = 16_384
 CLUSTER_BLOCK = 1_024
+#: Bytes of full sets in a block of a cluster, on average; one set may be larger.
+CLUSTER_BYTES = 32 << 20
 
 _NO_ID = -(1 << 63)
 
@@ -150,7 +152,7 @@ def shared_buckets(classes: DataFrame, distance: int) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                batch = _joined(held, batch)
             keys = batch.column("bucket").to_numpy()
             same = keys[1:] == keys[:-1]
             shared = np.concatenate([[last_shared], same]) | np.concatenate([same, [False]])
@@ -171,12 +173,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(values, "<u2").reshape(len(column), -1) if len(column) else np.empty((0, SYMBOLS), "<u2")
 
 
-def in_blocks(members: DataFrame, group: str, block: int) -> DataFrame:
+def in_blocks(members: DataFrame, group: str, block: int, weight: str | None = None, limit: int = 0) -> DataFrame:
     """Rows of ``members`` under every task (group, i, j) that compares their block; i = j where the group is one block.
 
-    A group of n rows has about n / block blocks, dealt by the node's hash.
+    A group of n rows has about n / block blocks, dealt by the node's hash, or
+    more where the sum of ``weight`` would be over ``limit`` in a block.
     """
-    sizes = members.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    blocks = F.ceil(F.count(F.lit(1)) / block)
+    if weight is not None:
+        blocks = F.greatest(blocks, F.ceil(F.sum(weight) / limit))
+    sizes = members.groupBy(group).agg(blocks.cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     small = members.join(sizes, group).withColumn("own", own)
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
@@ -185,14 +191,27 @@ def in_blocks(members: DataFrame, group: str, block: int) -> DataFrame:
     return small.withColumn("task", F.explode(tasks)).select(*[f"`{c}`" for c in members.columns], "task.i", "task.j")
 
 
+def _joined(first: pa.RecordBatch, second: pa.RecordBatch) -> pa.RecordBatch:
+    parts = pa.Table.from_batches([first, second]).combine_chunks().to_batches()
+    if len(parts) != 1:
+        raise RuntimeError(f"rows of a group came back in {len(parts)} batches instead of one")
+    return parts[0]
+
+
+def _wide(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Binary columns with 64-bit offsets: with 32-bit ones Arrow leaves over 2 GiB in several chunks."""
+    return batch.cast(pa.schema([(f.name, pa.large_binary() if pa.types.is_binary(f.type) else f.type) for f in batch.schema]))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Whole groups of rows with equal ``names`` from sorted batches, many small groups at once."""
+    """Whole groups of rows with equal ``names`` from sorted batches, many small groups at once; binary columns are large."""
     held = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
+        batch = _wide(batch)
         if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            batch = _joined(held, batch)
         changes = _changes(batch, names)
         if len(changes) < 2:
             held = batch
@@ -236,7 +255,7 @@ def candidate_links(buckets: DataFrame, classes: DataFrame, distance: int) -> Da
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _groups(batches, names):
             starts = _changes(batch, names)
-            signs, nodes = _matrix(batch.column("signature")), batch.column("node")
+            signs, nodes = _matrix(batch.column("signature")), batch.column("node").cast(pa.binary())
             sizes = np.diff(np.append(starts, batch.num_rows))
             firsts = starts[sizes == 2]
             close = (signs[firsts] != signs[firsts + 1]).sum(axis=1) <= distance
@@ -261,17 +280,17 @@ def confirmed_links(docs: DataFrame, members: DataFrame, size: int, percent: int
         for batch in batches:
             sets = [shingle_set(text, size) for text in batch.column("text").to_pylist()]
             same = pa.array([set_key(s) == node for s, node in zip(sets, batch.column("node").to_pylist())])
-            yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             ["cluster", "node", "shingles"]).filter(same)
+            yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("node"), pa.array([s.nbytes for s in sets], pa.int64()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], ["cluster", "node", "n_bytes", "shingles"]).filter(same)
 
     texts = docs.join(members, "doc_id").select("cluster", "node", "text")
     # An id may stand for several texts; one row for each set stays.
-    sets = texts.mapInArrow(rebuild, "cluster binary, node binary, shingles binary")
+    sets = texts.mapInArrow(rebuild, "cluster binary, node binary, n_bytes long, shingles binary")
     names = ["cluster", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _groups(batches, names):
-            nodes, shingles = batch.column("node"), batch.column("shingles").to_pylist()
+            nodes, shingles = batch.column("node").cast(pa.binary()), batch.column("shingles").to_pylist()
             starts = _changes(batch, names)
             left: list[int] = []
             right: list[int] = []
@@ -282,7 +301,7 @@ def confirmed_links(docs: DataFrame, members: DataFrame, size: int, percent: int
                     right.append(start + y)
             yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left, pa.int64())), nodes.take(pa.array(right, pa.int64()))], ["a", "b"])
 
-    return (in_blocks(sets.dropDuplicates(["node"]), "cluster", CLUSTER_BLOCK).select(*names, "node", "shingles")
+    return (in_blocks(sets.dropDuplicates(["node"]), "cluster", CLUSTER_BLOCK, "n_bytes", CLUSTER_BYTES).select(*names, "node", "shingles")
             .repartition(*names).sortWithinPartitions(*names).mapInArrow(compare, "a binary, b binary"))
 
 
