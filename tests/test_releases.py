@@ -41,6 +41,25 @@ def test_written_bgzf_is_read_in_ranges(spark, tmp_path):
     assert read_bgzf_lines(files, 3000).count() == 5000
 
 
+def test_bgzf_files_are_written_while_rows_come(tmp_path):
+    import gzip
+
+    import pandas as pd
+
+    from varloom.sources import bgzf
+
+    def batches():
+        for k in range(6):
+            yield pd.DataFrame({"value": [f"line {k} {i}" for i in range(500)], "folder": f"f{k // 2}"})
+            # The files of earlier folders are whole, whatever is still to come.
+            assert len(list(tmp_path.glob("*/*.vcf.gz"))) == k // 2
+
+    paths = [p for frame in bgzf._write_files(batches(), str(tmp_path), 1000) for p in frame["path"]]
+    texts = [gzip.open(p, "rt").read().splitlines() for p in paths]
+    assert texts == [[f"line {k} {i}" for k in (2 * f, 2 * f + 1) for i in range(500)] for f in range(3)]
+    assert sorted(str(p) for p in tmp_path.glob("*/*")) == sorted(paths)
+
+
 @pytest.mark.parametrize("max_bytes", [0, 1 << 27])
 def test_lookup_join_accepts_the_same_whatever_the_size(spark, max_bytes):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
