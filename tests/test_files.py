@@ -5,7 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows, vcf_text, write_vcf
+from vcf_cases import rows, vcf_text, write_vcf
 from varloom import (
     SchemaMismatch, concat_annotations, convert_annotations, convert_release, discover_files, list_fields,
     read_all_string_tsv, read_fasta_chunks, read_field_names, read_gene_list, read_gtf, read_published, read_sites,

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from vcf_cases import rows
 from varloom.operators import joins
 from varloom.operators.joins import (
     balanced_join, balanced_membership, heavy_keys, join_variants, lookup_join, measured_bytes, membership_join,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import varloom as v
-from conftest import rows
+from vcf_cases import rows
 from varloom.operators.one_hot import label_vocabulary
 from varloom.operators.scores import DOMAIN_FLAGS, cohort_maf, expression_scores
 from varloom.operators.start_lost import WINDOW, with_windows

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from conftest import rows, vcf_text, write_vcf
+from vcf_cases import rows, vcf_text, write_vcf
 from varloom import FeatureConfig, convert_release, run_pipeline, staging
 from varloom.__main__ import main
 

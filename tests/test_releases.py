@@ -7,7 +7,7 @@ import zipfile
 
 import pytest
 
-from conftest import rows, vcf_text, write_vcf
+from vcf_cases import rows, vcf_text, write_vcf
 from varloom import convert_release, join_variants, lookup_join, read_published, staging
 from varloom.functions.text import to_number
 from varloom.operators.joins import measured_bytes
