@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from varloom.llm.byte_bpe import bpe_report
+from varloom.llm.chat_format import CHAT_SQL, HARD_CASE, chat_report
 from varloom.llm.common import read_documents
 from varloom.llm.near_duplicates import near_duplicates
 from varloom.llm.packing import packed_sequences
@@ -61,6 +62,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_documents(spark, sf_dir))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv, turns = HARD_CASE
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return chat_report(given.unionByName(spark.createDataFrame([(conv, *t) for t in turns], given.schema)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
     "op2_secret_scan": op2_secret_scan,
@@ -72,10 +79,12 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
+    "op13_chat_format": op13_chat_format,
 }
 
 #: DuckDB statements for the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op9_url_filter": URL_SQL,
     "op10_quality_rules": QUALITY_SQL,
+    "op13_chat_format": CHAT_SQL,
 }
