@@ -14,6 +14,7 @@ from varloom.llm.packing import packed_sequences
 from varloom.llm.quality import QUALITY_SQL, quality_report
 from varloom.llm.secrets import secret_report
 from varloom.llm.sharding import byte_shards
+from varloom.llm.spelling import SPELLING_SQL, spelling_variants
 from varloom.llm.spot_signatures import fingerprint_report
 from varloom.llm.token_counts import token_counts
 from varloom.llm.token_file import token_output
@@ -62,6 +63,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_documents(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_documents(spark, sf_dir))
+
+
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv, turns = HARD_CASE
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_chat_format": op13_chat_format,
 }
 
@@ -86,5 +92,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op9_url_filter": URL_SQL,
     "op10_quality_rules": QUALITY_SQL,
+    "op12_spelling_variants": SPELLING_SQL,
     "op13_chat_format": CHAT_SQL,
 }
