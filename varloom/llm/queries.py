@@ -11,6 +11,7 @@ from varloom.llm.chat_format import CHAT_SQL, HARD_CASE, chat_report
 from varloom.llm.common import read_documents
 from varloom.llm.near_duplicates import near_duplicates
 from varloom.llm.packing import packed_sequences
+from varloom.llm.prefix_trie import TRIE_SQL, prefix_trie
 from varloom.llm.quality import QUALITY_SQL, quality_report
 from varloom.llm.secrets import secret_report
 from varloom.llm.sharding import byte_shards
@@ -63,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_documents(spark, sf_dir))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_chat_format": op13_chat_format,
 }
@@ -92,6 +98,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op9_url_filter": URL_SQL,
     "op10_quality_rules": QUALITY_SQL,
+    "op11_prefix_trie": TRIE_SQL,
     "op12_spelling_variants": SPELLING_SQL,
     "op13_chat_format": CHAT_SQL,
 }
