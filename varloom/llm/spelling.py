@@ -5,7 +5,7 @@ one replaced letter have vectors at L1 distance 2; a word and one with a letter
 more have vectors at distance 1. For each length there is a k-d tree:
 
 1. Its upper part cuts the words of the length into cells. It is fitted on a
-   bounded sample (``SAMPLE`` words of a length); the boxes of its cells cover
+   bounded sample (about ``SAMPLE`` words of a length); the boxes of its cells cover
    everything, so each word lies in one cell whatever the sample was.
 2. Each word also goes as a query to every cell, of its own length and of the
    next one, whose box is within the distance. A cell is at most two cuts away
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm.common import byte_slices, id_and_text
@@ -35,7 +35,7 @@ BATCH_BYTES = 8 << 20
 #: Words that a task counts before it hands the counts on.
 HELD_WORDS = 400_000
 
-#: Words of a length that the cuts are fitted on, and words that a cell should hold.
+#: Words of a length that the cuts are fitted on (about; more are never needed), and words that a cell should hold.
 SAMPLE = 20_000
 CELL_WORDS = 8192
 #: Vectors in a leaf of a cell's own tree, and word pairs compared at once.
@@ -95,7 +95,7 @@ def word_codes(words: list[str], length: int) -> np.ndarray:
 def letter_counts(codes: np.ndarray) -> np.ndarray:
     n, length = codes.shape
     flat = np.bincount((np.arange(n)[:, None] * LETTERS + codes).ravel(), minlength=n * LETTERS)
-    return flat.reshape(n, LETTERS).astype(np.int16)
+    return flat.reshape(n, LETTERS).astype(np.int16 if length < 1 << 14 else np.int32)
 
 
 class Tree:
@@ -119,8 +119,8 @@ class Tree:
 
     def within(self, queries: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
         """(leaf, rows of ``queries`` whose distance to the leaf's box is at most ``radius``)."""
-        low, high = np.zeros(LETTERS, np.int16), np.full(LETTERS, 1 << 14, np.int16)
-        stack = [(self.root, np.arange(len(queries)), np.zeros(len(queries), np.int16), low, high)]
+        low, high = np.zeros(LETTERS, np.int32), np.full(LETTERS, 1 << 30, np.int32)
+        stack = [(self.root, np.arange(len(queries)), np.zeros(len(queries), np.int32), low, high)]
         while stack:
             node, rows, far, low, high = stack.pop()
             if not len(rows):
@@ -140,19 +140,22 @@ class Tree:
 
 
 def fit_cells(words: DataFrame, cell_words: int = CELL_WORDS, sample: int = SAMPLE) -> dict[int, Tree]:
-    """The upper tree of each length that occurs; of a length's words at most ``sample`` (smallest hashes) are read.
+    """The upper tree of each length that occurs; of a length with more than ``sample`` words about so many are read, by hash.
 
     A length has as many cells as it should need for ``cell_words`` each, but a
     cell holds four words of the sample at least.
     """
     sized = words.groupBy(F.char_length("word").alias("length")).agg(F.count(F.lit(1)).alias("n"))
     counts = {r.length: r.n for r in sized.collect()}
-    ranked = words.select("word", F.char_length("word").alias("length"), F.xxhash64("word").alias("h")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("length").orderBy("h", "word"))).where(F.col("rank") <= sample)
+    share = F.lit(1 << 32)
+    for length, n in counts.items():
+        if n > sample:
+            share = F.when(F.char_length("word") == length, F.lit((sample << 32) // n)).otherwise(share)
     drawn: dict[int, list[str]] = {}
-    for row in ranked.select("length", "word").collect():
-        drawn.setdefault(row.length, []).append(row.word)
-    return {length: Tree(letter_counts(word_codes(found, length)), max(4, cell_words * len(found) // counts[length])) for length, found in drawn.items()}
+    for row in words.where(F.pmod(F.xxhash64("word"), F.lit(1 << 32)) < share).select("word").collect():
+        drawn.setdefault(len(row.word), []).append(row.word)
+    return {length: Tree(letter_counts(word_codes(found, length)), max(4, cell_words * len(found) // n))
+            for length, n in counts.items() for found in [drawn.get(length, [])]}
 
 
 def dealt(words: DataFrame, trees: dict[int, Tree]) -> DataFrame:
@@ -212,8 +215,9 @@ class Cell:
         wide = np.diff(self.starts)[b]
         many = np.diff(starts)[a] * wide
         ends = np.cumsum(many)
-        for low in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
-            flat = np.arange(low, min(low + PAIRS, int(ends[-1])))
+        step = max(1, min(PAIRS, (1 << 23) // self.length))
+        for low in range(0, int(ends[-1]) if len(ends) else 0, step):
+            flat = np.arange(low, min(low + step, int(ends[-1])))
             pair = np.searchsorted(ends, flat, side="right")
             within = flat - (ends[pair] - many[pair])
             left, right = order[starts[a[pair]] + within // wide[pair]], self.order[self.starts[b[pair]] + within % wide[pair]]
