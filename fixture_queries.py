@@ -175,32 +175,38 @@ def read_vcf(spark, sf_dir):
     return v.convert_annotations(read, CSQ_NAMES, with_ann=False)
 
 
+#: Keys in a subshard, so that there are more of them, not larger ones, as the tables grow.
+SUBSHARD_KEYS = 20_000
+_FOLDERS = f"'shard-' || CAST(length(ref) AS varchar) AS shard, 'subshard-' || CAST(k // {SUBSHARD_KEYS} AS varchar) AS subshard"
+
+
 def _records(sites: DataFrame):
-    """VCF record lines of raw sites, with the columns that name their folder."""
+    """VCF record lines of raw sites (with their key K), with the columns that name their folder."""
     tags = [F.when(F.col(t).isNotNull(), F.concat(F.lit(f"{t}="), F.col(t))) for t in ("AC", "AN", "AF", "CSQ", "ANN")]
     record = F.concat_ws("\t", "CHROM", "POS", F.lit("."), "REF", "ALT", "QUAL", "FILTER", F.concat_ws(";", *tags))
     shard = F.concat(F.lit("shard-"), F.length("REF"))
-    subshard = F.concat(F.lit("subshard-"), F.pmod(F.col("POS").cast("long"), F.lit(2)))
-    return sites.select(record.alias("value"), shard.alias("shard"), subshard.alias("subshard"))
+    subshard = F.concat(F.lit("subshard-"), F.expr(f"K div {SUBSHARD_KEYS}"))
+    return sites.select(record.alias("value"), shard.alias("shard"), subshard.alias("subshard"), "CHROM", F.col("POS").cast("long").alias("POS"))
 
 
 def _release_files(spark: SparkSession, sf_dir: str) -> str:
     """The sites as bgzipped VCF files with headers, a folder for each shard and subshard."""
-    records = _records(_sites(spark, sf_dir))
+    variants = fixture(spark, sf_dir, "variants")
+    records = _records(variants.select(*[F.col(c).alias(c.upper()) for c in variants.columns]))
     head = [f'##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequences. Format: {"|".join(CSQ_RAW)}">',
             "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
     folders = records.select("shard", "subshard").distinct()
     headers = folders.select(F.posexplode(F.array(*map(F.lit, head))).alias("line", "value"), "shard", "subshard")
-    lines = headers.unionByName(records.withColumn("line", F.lit(9)))
+    lines = headers.unionByName(records.withColumn("line", F.lit(9)), allowMissingColumns=True)
     path = staging_path(spark)
-    # One task for each folder, its header first.
-    ordered = lines.repartition("shard", "subshard").sortWithinPartitions("shard", "subshard", "line").select("value", "shard", "subshard")
+    # A folder is one file, its header first, then its records in coordinate order.
+    ordered = lines.repartition("shard", "subshard").sortWithinPartitions("shard", "subshard", "line", "CHROM", "POS").select("value", "shard", "subshard")
     write_bgzf(ordered, path, ("shard", "subshard")).count()
     return path
 
 
-_RELEASE = f"""
-SELECT l.*, 'shard-' || CAST(length(REF) AS varchar) AS shard, 'subshard-' || CAST(POS % 2 AS varchar) AS subshard FROM ({_LONG}) AS l"""
+_LONG_K = _LONG.replace("SELECT CHROM,", "SELECT k, CHROM,", 1).replace("SELECT CASE WHEN chrom", "SELECT k, CASE WHEN chrom", 1)
+_RELEASE = f"SELECT l.* EXCLUDE (k), {_FOLDERS} FROM ({_LONG_K}) AS l"
 
 
 @query("read_bgzf", _RELEASE, ("variants",))
@@ -225,8 +231,7 @@ _HEADER_VALUES = ", ".join(f"({i}, '{raw}', '{name}')" for i, (raw, name) in enu
 
 @query("read_headers", f"""
 SELECT f.shard, f.subshard, CAST(h.position AS int) AS position, h.raw, h.name
-FROM (SELECT DISTINCT 'shard-' || CAST(length(ref) AS varchar) AS shard, 'subshard-' || CAST(CAST(pos AS bigint) % 2 AS varchar) AS subshard
-      FROM variants) AS f, (VALUES {_HEADER_VALUES}) AS h(position, raw, name)""", ("variants",))
+FROM (SELECT DISTINCT {_FOLDERS} FROM variants) AS f, (VALUES {_HEADER_VALUES}) AS h(position, raw, name)""", ("variants",))
 def read_headers(spark, sf_dir):
     """Discovered files and the subfields that their headers name."""
     files = v.discover_files(spark, f"{_release_files(spark, sf_dir)}/*/*/*.gz")
@@ -235,8 +240,7 @@ def read_headers(spark, sf_dir):
 
 @query("column_list", f"""
 SELECT f.shard, f.subshard, c.name
-FROM (SELECT DISTINCT 'shard-' || CAST(length(ref) AS varchar) AS shard, 'subshard-' || CAST(CAST(pos AS bigint) % 2 AS varchar) AS subshard
-      FROM variants) AS f,
+FROM (SELECT DISTINCT {_FOLDERS} FROM variants) AS f,
   (VALUES {', '.join(f"('{c}')" for c in ["CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "AC", "AN", "AF", "ANN", *CSQ_NAMES])}) AS c(name)""",
        ("variants",))
 def column_list(spark, sf_dir):
@@ -246,6 +250,17 @@ def column_list(spark, sf_dir):
     return spark.read.text(f"{out}/pipeline_info/columns/*").select("shard", "subshard", F.col("value").alias("name"))
 
 
+@query("region_scan_indexed", f"""
+{_RELEASE} WHERE (CHROM = 'chr1' AND POS <= 100000 AND POS + length(REF) - 1 >= 20000) OR (CHROM = 'chrX' AND POS <= 60010 AND POS + length(REF) - 1 >= 60000)
+  OR CHROM = 'chr7'""", ("variants",))
+def region_scan_indexed(spark, sf_dir):
+    """bgzipped files indexed, and only the ranges read that the regions need."""
+    files = staged(v.discover_files(spark, f"{_release_files(spark, sf_dir)}/*/*/*.gz"))
+    v.index_vcf(files, 200_000).count()
+    read = v.read_regions(spark, files, ["chr1:20000-100000", "chrX:60,000-60,010", "chr7"])
+    return v.convert_annotations(read, CSQ_NAMES, with_ann=False)
+
+
 @query("gene_list", "SELECT DISTINCT gene FROM genes_to_keep", ("genes_to_keep",))
 def gene_list(spark, sf_dir):
     path = staging_path(spark)
@@ -580,6 +595,20 @@ def keep_first_per_transcript(spark, sf_dir):
     return v.keep_first(located, ["id", "feature"], [F.asc_nulls_last("dist_to_tss")])
 
 
+# The annotated part of a genome-wide score table: four contigs.
+_PART = "SELECT * FROM long_table WHERE chrom IN ('chr1', 'chr2', 'chrX', 'chrY')"
+
+
+@query("bloom_reduced_scores", f"""
+SELECT d.id, d.chrom, d.pos, d.ref, d.alt, c.gpn_score
+FROM (SELECT DISTINCT id, chrom, pos, ref, alt FROM ({_PART}) AS p) AS d LEFT JOIN conservation_raw AS c
+  ON lower(substr(d.chrom, 4)) = lower(c.chrom) AND d.pos = c.pos AND d.ref = c.ref AND d.alt = c.alt""", ("long_table", "conservation_raw"))
+def bloom_reduced_scores(spark, sf_dir):
+    """Score rows of other variants are dropped by a Bloom filter before the shuffle."""
+    part = fixture(spark, sf_dir, "long_table").where(F.col("chrom").isin("chr1", "chr2", "chrX", "chrY"))
+    return v.conservation_scores(part, fixture(spark, sf_dir, "conservation_raw"), reduce=True)
+
+
 def _delete_join(source: str) -> str:
     return f"""
 SELECT t.*, CAST(d.phred AS float) AS phred, CAST(d.rawscore AS float) AS rawscore FROM ({source}) AS t
@@ -597,6 +626,16 @@ def deleteriousness_merge(spark, sf_dir):
     return v.merge_deleteriousness(long, scores, ["PHRED", "RawScore", "absent"])
 
 
+@query("bloom_reduced_deleteriousness", _delete_join(
+    f"SELECT id, chrom, pos, ref, alt, feature, gene AS region, CAST(af AS float) AS af FROM ({_PART}) AS p"),
+       ("long_table", "deleteriousness_raw"))
+def bloom_reduced_deleteriousness(spark, sf_dir):
+    long = fixture(spark, sf_dir, "long_table").where(F.col("chrom").isin("chr1", "chr2", "chrX", "chrY")).select(
+        "id", *VARIANT_KEY, "feature", F.col("gene").alias("region"), "af")
+    scores = v.normalise_score_keys(fixture(spark, sf_dir, "deleteriousness_raw"), gene="geneid")
+    return v.merge_deleteriousness(long, scores, ["PHRED", "RawScore"], reduce=True)
+
+
 @query("deleteriousness_merge_max", """
 SELECT t.id, t.chrom, t.pos, t.ref, t.alt, t.feature, t.gene AS region, CAST(d.phred AS float) AS phred
 FROM long_table AS t LEFT JOIN (SELECT chrom, pos, ref, alt, geneid, max(phred) AS phred FROM deleteriousness_raw

@@ -22,11 +22,11 @@ RECORD = "chr1\t{}\t.\tA\tG\t9\tPASS\tAC=1;AN=9;AF=0.01;CSQ=G|missense|G1|c.1|0.
 @pytest.mark.parametrize("split", [40, 1 << 20])
 @pytest.mark.parametrize("text", [b"a\r\nb\rc\n\nd\xff\n", b"a\nb", b"one\r\n\r\ntwo\r", b"\n\n", b"x\r\n" * 50])
 def test_both_readers_cut_lines_alike(spark, tmp_path, text, split):
-    from varloom.sources.bgzf import _as_member
+    from varloom.sources.bgzf import as_member
 
     (tmp_path / "s-1" / "t-1").mkdir(parents=True)
     path = tmp_path / "s-1" / "t-1" / "f.vcf.gz"
-    path.write_bytes(b"".join(_as_member(text[i:i + 7]) for i in [*range(0, len(text), 7), len(text)]))
+    path.write_bytes(b"".join(as_member(text[i:i + 7]) for i in [*range(0, len(text), 7), len(text)]))
     files = discover_files(spark, str(path))
     lines = read_bgzf_lines(files, split).select(F.hex("value")).collect()
     whole = spark.read.text(str(path)).select(F.hex("value")).collect()

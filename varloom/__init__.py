@@ -1,5 +1,6 @@
 """Variant-annotation tables on Spark: conversion, features, score merges."""
 
+from varloom.operators.bloom import bloom_filter, bloom_reduced_join, might_match
 from varloom.operators.coverage import annotation_gap
 from varloom.operators.dedupe import distinct_rows, keep_first, variant_metadata
 from varloom.operators.expand import add_variant_id, cast_fixed, expand_ann, expand_csq, null_tokens
@@ -34,4 +35,5 @@ from varloom.sources.sinks import publish_annotations, unpublished, write_annota
 from varloom.sources.tables import (
     concat_annotations, normalise_score_keys, read_all_string_tsv, read_gene_list, read_published,
 )
+from varloom.sources.tabix import index_vcf, read_regions, region_ranges
 from varloom.sources.vcf import discover_files, list_fields, read_field_names, read_sites

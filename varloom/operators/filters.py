@@ -33,21 +33,24 @@ def site_filters(sites: DataFrame, max_af: float | None = None, max_ac: int | No
     return sites.where(~excluded)
 
 
-def _one_region(region: str) -> Column:
+def parse_region(region: str) -> tuple[str, int | None, int | None]:
+    """Contig, first and last position (1-based, both included; None: open)."""
     parsed = re.fullmatch(r"([^:,\s]+)(?::([0-9]+)(-([0-9]*))?)?", region.strip().replace(",", ""))
     if parsed is None:
         raise ValueError(f"not a region: {region!r} (use chr, chr:pos, chr:start- or chr:start-end)")
     chrom, start, dash, end = parsed.groups()
-    inside = F.col("CHROM") == chrom
-    if start is None:
-        return inside
-    pos = F.col("POS").cast("string")
-    first = to_number(pos, "bigint")
-    last = first + F.length("REF") - 1
-    inside = inside & (last >= F.lit(int(start)))
-    if not dash:
+    if start is not None and not dash:
         end = start
-    return inside & (first <= F.lit(int(end))) if end else inside
+    return chrom, int(start) if start is not None else None, int(end) if end else None
+
+
+def _one_region(region: str) -> Column:
+    chrom, start, end = parse_region(region)
+    inside = F.col("CHROM") == chrom
+    first = to_number(F.col("POS").cast("string"), "bigint")
+    if start is not None:
+        inside = inside & (first + F.length("REF") - 1 >= F.lit(start))
+    return inside if end is None else inside & (first <= F.lit(end))
 
 
 def region_filter(sites: DataFrame, region: str | Sequence[str]) -> DataFrame:

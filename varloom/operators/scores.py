@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.keys import VARIANT_KEY, without_chr
 from varloom.functions.positions import slash_part
+from varloom.operators.bloom import bloom_filter, bloom_reduced_join, might_match
 from varloom.operators.dedupe import keep_first
 from varloom.operators.joins import balanced_join, lookup_join, membership_join
 from varloom.operators.row_features import lower_columns
@@ -23,11 +24,12 @@ def downcast_doubles(df: DataFrame) -> DataFrame:
     ])
 
 
-def conservation_scores(df: DataFrame, scores: DataFrame, value: str = "gpn_score") -> DataFrame:
+def conservation_scores(df: DataFrame, scores: DataFrame, value: str = "gpn_score", reduce: bool = False) -> DataFrame:
     """Score of every distinct variant of ``df``: the variant key, ``id`` and ``value``.
 
     Contigs are compared without prefix and case. Variants without a score
-    keep a null.
+    keep a null. With ``reduce`` a Bloom filter of the variants drops most
+    other score rows before the shuffle.
     """
     def contig(column: str):
         return F.lower(without_chr(F.col(column)))
@@ -36,8 +38,10 @@ def conservation_scores(df: DataFrame, scores: DataFrame, value: str = "gpn_scor
     right = scores.select(
         contig("chrom").alias("_contig"), F.col("pos").cast("bigint").alias("pos"), "ref", "alt", value
     )
-    joined = balanced_join(variants, right, ["_contig", "pos", "ref", "alt"], left_unique=True)
-    return joined.drop("_contig")
+    keys = ["_contig", "pos", "ref", "alt"]
+    if reduce:
+        return bloom_reduced_join(staged(variants), right, keys, left_unique=True)[0].drop("_contig")
+    return balanced_join(variants, right, keys, left_unique=True).drop("_contig")
 
 
 def merge_scores(df: DataFrame, scores: DataFrame, on: Sequence[str], cardinality: str = "m:1",
@@ -63,19 +67,25 @@ def merge_pre_deleteriousness(df: DataFrame, conservation: DataFrame, value: str
 
 
 def merge_deleteriousness(df: DataFrame, scores: DataFrame, columns: Sequence[str],
-                          dedupe: str | None = None) -> DataFrame:
+                          dedupe: str | None = None, reduce: bool = False) -> DataFrame:
     """Left join of per-variant, per-gene scores; doubles become floats.
 
     ``scores`` is keyed by ``normalise_score_keys``. Several score rows for one
     key give several rows unless ``dedupe='max'`` keeps the largest values.
+    Only score rows of genes at hand are kept, or with ``reduce`` those that a
+    Bloom filter of the whole key lets pass; they are written once, since the
+    search for heavy keys reads them as well as the join.
     """
     keys = [*VARIANT_KEY, "region"]
     wanted = sorted({c.lower() for c in columns} & set(scores.columns) - {*keys, "id"})
     clashes = sorted(set(wanted) & set(df.columns))
     if clashes:
         raise ValueError(f"score columns already present: {clashes}")
-    # Most of a genome-wide score table lies outside the genes at hand.
-    small = membership_join(scores.select(*keys, *wanted), df.select("region"), "region")
+    # Most of a genome-wide score table lies outside the genes or variants at hand.
+    if reduce:
+        small = staged(might_match(scores.select(*keys, *wanted), bloom_filter(df, keys)))
+    else:
+        small = staged(membership_join(scores.select(*keys, *wanted), df.select("region"), "region"))
     if dedupe == "max":
         small = small.groupBy(*keys).agg(*[F.max(c).alias(c) for c in wanted])
     elif dedupe is not None:

@@ -98,22 +98,31 @@ def input_location(path: str) -> tuple[str, bool]:
     return name + path[len(scheme.group(1)):], name in _ARROW_SCHEMES
 
 
+def _store(path: str):
+    from pyarrow import fs
+
+    place, known = input_location(path)
+    if known:
+        return fs.FileSystem.from_uri(place)
+    return fs.HadoopFileSystem.from_uri(re.match(r"[^:]+:(//[^/]*)?", place).group()), place
+
+
 def open_input(path: str):
     """Open a file by path or URI on an executor, for random access.
 
     Schemes that Arrow does not know go through the Hadoop client library, as
     Spark's readers do.
     """
-    from pyarrow import fs
-
-    place, known = input_location(path)
-    if known:
-        filesystem, inner = fs.FileSystem.from_uri(place)
-    else:
-        filesystem, inner = fs.HadoopFileSystem.from_uri(re.match(r"[^:]+://[^/]*", place).group()), place
+    filesystem, inner = _store(path)
     return filesystem.open_input_file(inner)
 
 
+def open_output(path: str):
+    """Open a file for writing, bytes as they are whatever its name ends in."""
+    filesystem, inner = _store(path)
+    return filesystem.open_output_stream(inner, compression=None)
+
+
 def subfield_names(description: str) -> list[str]:
     """Names listed in an INFO description: after ``Format:`` or inside quotes."""
     listed = re.search(r"Format:\s*(.*)", description) or re.search(r"'([^']*)'", description)
