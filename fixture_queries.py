@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import varloom as v
@@ -261,6 +262,59 @@ def region_scan_indexed(spark, sf_dir):
     return v.convert_annotations(read, CSQ_NAMES, with_ann=False)
 
 
+@query("observed_gap_counts", """
+SELECT count(*) AS n_sites, count(*) FILTER (WHERE csq IS NULL) AS n_unannotated,
+  count(*) FILTER (WHERE alt LIKE '%,%') AS n_multiallelic FROM variants""", ("variants",))
+def observed_gap_counts(spark, sf_dir):
+    """Counted in the pass that converts and writes a release, summed over its two runs."""
+    root, out = _release_files(spark, sf_dir), staging_path(spark)
+    for subshard in ("subshard-0", "subshard-*"):
+        v.convert_release(spark, root, out, subshards=subshard, vcf_name="*.vcf.gz", with_ann=False)
+    return spark.read.parquet(f"{out}/pipeline_info/coverage").agg(*[F.sum(c).alias(c) for c in ("n_sites", "n_unannotated", "n_multiallelic")])
+
+
+_TABLE_COLUMNS = ["CHROM", "POS", "REF", "ALT", "QUAL", "FILTER", "AC", "AN", "AF", "ANN", *CSQ_NAMES]
+
+
+@query("list_fields", f"""
+SELECT f.shard, CAST(c.position AS int) AS position, c.name FROM (SELECT DISTINCT 'shard-' || CAST(length(ref) AS varchar) AS shard FROM variants) AS f,
+  (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(_TABLE_COLUMNS))}) AS c(position, name)""", ("variants",))
+def list_fields(spark, sf_dir):
+    """The columns that the first file of each shard would get, from its header alone."""
+    files = v.discover_files(spark, f"{_release_files(spark, sf_dir)}/*/*/*.gz")
+    firsts = files.groupBy("shard").agg(F.min("path").alias("path")).collect()
+    listed = [v.list_fields(spark, row.path).withColumn("shard", F.lit(row.shard)) for row in firsts]
+    return reduce(DataFrame.unionByName, listed)
+
+
+_COLUMN_LINES = ", chr(10), ".join(f"'{c}'" for c in _TABLE_COLUMNS)
+
+
+@query("schema_report", f"""
+SELECT 'schema' AS file, CAST(i AS int) AS line, CAST(i AS varchar) || chr(9) || name AS value FROM (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(_TABLE_COLUMNS))}) AS c(i, name)
+UNION ALL SELECT 'schema_hashes', CAST(row_number() OVER (ORDER BY name) - 1 AS int), md5(concat({_COLUMN_LINES}, chr(10))) || chr(9) || name || chr(9) || '{len(_TABLE_COLUMNS)}'
+FROM (SELECT DISTINCT shard || '/' || subshard AS name FROM (SELECT {_FOLDERS} FROM variants) AS f) AS h
+UNION ALL SELECT 'schema_check', 0, CAST(count(*) AS varchar) || ' files checked' FROM (SELECT DISTINCT {_FOLDERS} FROM variants) AS g
+UNION ALL SELECT 'schema_check', 1, '1 different column lists' UNION ALL SELECT 'schema_check', 2, '{len(_TABLE_COLUMNS)} columns in the list that counts'""", ("variants",))
+def schema_report(spark, sf_dir):
+    """The report files of a release, line by line: canonical columns, sorted hashes, log."""
+    root, out = _release_files(spark, sf_dir), staging_path(spark)
+    v.convert_release(spark, root, out, vcf_name="*.vcf.gz", with_ann=False)
+    # Each is one small file, so its lines come in order.
+    line = F.row_number().over(Window.partitionBy("file").orderBy("at")) - 1
+    parts = [spark.read.text(f"{out}/pipeline_info/{name}").select(F.lit(name.split(".")[0]).alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+             for name in ("schema.tsv", "schema_hashes.tsv", "schema_check.log")]
+    return reduce(DataFrame.unionByName, parts).select("file", line.alias("line"), "value")
+
+
+@query("empty_output", f"SELECT * FROM ({_RELEASE}) AS r WHERE CHROM = 'nowhere'", ("variants",))
+def empty_output(spark, sf_dir):
+    """A release of which no row is left is a table with all its columns."""
+    root, out = _release_files(spark, sf_dir), staging_path(spark)
+    v.convert_release(spark, root, out, vcf_name="*.vcf.gz", with_ann=False, region="nowhere:1-10")
+    return v.read_published(spark, out)
+
+
 @query("gene_list", "SELECT DISTINCT gene FROM genes_to_keep", ("genes_to_keep",))
 def gene_list(spark, sf_dir):
     path = staging_path(spark)
@@ -300,6 +354,44 @@ def read_gtf(spark, sf_dir):
     return v.read_gtf(spark, path)
 
 
+_TSS = """
+SELECT region, tss, strand_right, gene_length FROM (
+  SELECT string_split(gene_id, '.')[1] AS region, CASE WHEN strand = '+' THEN start1 - 1 ELSE end1 END AS tss,
+    strand AS strand_right, end1 - start1 + 2 AS gene_length,
+    row_number() OVER (PARTITION BY string_split(gene_id, '.')[1] ORDER BY seqname, start1) AS n
+  FROM gtf_genes WHERE feature = 'gene' AND gene_type = 'protein_coding') AS g WHERE n = 1"""
+
+
+_GTF_LINE = "CASE WHEN start1 % 2 = 0 THEN 'gene_biotype' ELSE 'gene_type' END"
+
+
+@query("read_gtf_attributes", """
+SELECT gene_id, seqname, feature, CAST(start1 AS bigint) AS start1, CAST(end1 AS bigint) AS end1, strand, gene_type,
+  CASE WHEN start1 % 3 = 0 THEN 'basic' ELSE 'basic,x;y' END AS tag, CAST(start1 % 4 AS varchar) AS level,
+  CASE WHEN start1 % 5 = 0 THEN NULL ELSE 'say "gene_id" ' || strand END AS note FROM gtf_genes""", ("gtf_genes",))
+def read_gtf_attributes(spark, sf_dir):
+    """Repeated tags, quoted semicolons and escaped quotes, the biotype under either name."""
+    path = staging_path(spark)
+    dot = F.lit(".")
+    attributes = F.concat(
+        F.format_string('gene_id "%s"; ', "gene_id"), F.expr(_GTF_LINE), F.format_string(' "%s"; level %d; tag "basic";', "gene_type", F.expr("start1 % 4")),
+        F.when(F.expr("start1 % 3 = 0"), "").otherwise(' tag "x;y";'), F.when(F.expr("start1 % 5 = 0"), "").otherwise(
+            F.format_string(' note "say \\"gene_id\\" %s";', "strand")))
+    fixture(spark, sf_dir, "gtf_genes").select(F.concat_ws(
+        "\t", "seqname", F.lit("TEST"), "feature", "start1", "end1", dot, "strand", dot, attributes)).write.text(path)
+    return v.read_gtf(spark, path, ["tag", "level", "note"])
+
+
+@query("tss_of_either_dialect", _TSS, ("gtf_genes",))
+def tss_of_either_dialect(spark, sf_dir):
+    path = staging_path(spark)
+    dot = F.lit(".")
+    attributes = F.concat(F.format_string('gene_id "%s"; ', "gene_id"), F.expr(_GTF_LINE), F.format_string(' "%s";', "gene_type"))
+    fixture(spark, sf_dir, "gtf_genes").select(F.concat_ws(
+        "\t", "seqname", F.lit("TEST"), "feature", "start1", "end1", dot, "strand", dot, attributes)).write.text(path)
+    return v.tss_table(v.read_gtf(spark, path))
+
+
 @query("read_fasta", """
 SELECT contig, chunk // 3 AS chunk, string_agg(seq, '' ORDER BY chunk) AS seq FROM genome_chunks
 GROUP BY contig, chunk // 3""", ("genome_chunks",))
@@ -462,6 +554,17 @@ def variant_length_flags(spark, sf_dir):
     return v.length_flags(fixture(spark, sf_dir, "typed_sites").select("k", "ref", "alt"))
 
 
+@query("absent_columns", f"SELECT {_KEYED}, gene AS region, CAST(NULL AS double) AS next_in_frame_relative, false AS known FROM long_table", ("long_table",))
+def absent_columns(spark, sf_dir):
+    """Steps whose column is not in the table leave it alone, or give a null."""
+    long = v.with_region(fixture(spark, sf_dir, "long_table").select("id", "feature", "gene"))
+    table = v.substitution_score(v.spliceai_delta(long), fixture(spark, sf_dir, "substitution_matrix"))
+    table = v.protein_position_scores(table, fixture(spark, sf_dir, "position_scores"))
+    table = v.domain_overlap(table, fixture(spark, sf_dir, "protein_domains"))
+    table = v.start_lost_distance(table, fixture(spark, sf_dir, "genome_chunks"), CHUNK)
+    return table.withColumn("known", F.lit(bool({"blosum62", "spliceai_delta_score", "cpt1_score", *_FLAGS} & set(table.columns))))
+
+
 @query("cohort_frequency", f"SELECT {_KEYED}, af, af AS maf_cohort, gene AS region FROM long_table", ("long_table",))
 def cohort_frequency(spark, sf_dir):
     long = fixture(spark, sf_dir, "long_table").select("id", "feature", "gene", "af")
@@ -470,14 +573,6 @@ def cohort_frequency(spark, sf_dir):
 
 # ── Gene features ──────────────────────────────────────────────────────────
 
-_TSS = """
-SELECT region, tss, strand_right, gene_length FROM (
-  SELECT string_split(gene_id, '.')[1] AS region, CASE WHEN strand = '+' THEN start1 - 1 ELSE end1 END AS tss,
-    strand AS strand_right, end1 - start1 + 2 AS gene_length,
-    row_number() OVER (PARTITION BY string_split(gene_id, '.')[1] ORDER BY seqname, start1) AS n
-  FROM gtf_genes WHERE feature = 'gene' AND gene_type = 'protein_coding') AS g WHERE n = 1"""
-
-
 @query("tss_table", _TSS, ("gtf_genes",))
 def tss_table(spark, sf_dir):
     return v.tss_table(fixture(spark, sf_dir, "gtf_genes"))
@@ -529,6 +624,38 @@ def fetch_sequences(spark, sf_dir):
     return found.withColumn("next_atg", next_inframe_atg(F.col("seq")))
 
 
+def _genome_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genome as FASTA lines ``contig, value`` in 32-base lines, a contig's lines in order."""
+    genome = fixture(spark, sf_dir, "genome_chunks")
+    headers = genome.select("contig").distinct().select(
+        "contig", F.lit(-1).cast("bigint").alias("chunk"), F.concat(F.lit(">"), "contig").alias("seq"))
+    ordered = genome.unionByName(headers).repartition("contig").sortWithinPartitions("contig", "chunk")
+    return ordered.select("contig", F.col("seq").alias("value"))
+
+
+def _fetched(spark: SparkSession, sf_dir: str, glob: str) -> DataFrame:
+    listing = spark.read.format("binaryFile").load(glob).select("path", "length")
+    v.index_fasta(staged(listing), 100_000).count()
+    windows = with_windows(_labelled(spark, sf_dir)).where("w_start is not null").select(*WINDOW)
+    return v.fetch_indexed(windows, v.read_fasta_index(spark, glob))
+
+
+@query("fetch_sequences_indexed", f"SELECT * FROM ({_SEQUENCES}) AS s", ("long_table", "genome_chunks"))
+def fetch_sequences_indexed(spark, sf_dir):
+    """Windows from the byte ranges of indexed FASTA files; the genome is not read."""
+    path = staging_path(spark)
+    _genome_lines(spark, sf_dir).write.partitionBy("contig").text(path)
+    return _fetched(spark, sf_dir, f"{path}/*/*.txt")
+
+
+@query("fetch_sequences_bgzf", f"SELECT * FROM ({_SEQUENCES}) AS s", ("long_table", "genome_chunks"))
+def fetch_sequences_bgzf(spark, sf_dir):
+    """The same from bgzipped FASTA files: of those only the members with the windows are read."""
+    path = staging_path(spark)
+    write_bgzf(_genome_lines(spark, sf_dir), path, ("contig",)).count()
+    return _fetched(spark, sf_dir, f"{path}/*/*.gz")
+
+
 _START_LOST = f"""
 SELECT t.*, CASE WHEN d.a < 0 THEN 1e0 ELSE CAST(d.a AS double) / t.n END AS next_in_frame_relative
 FROM ({_WINDOWS}) AS t LEFT JOIN (SELECT *, {_NEXT_ATG} AS a FROM ({_SEQUENCES}) AS s) AS d
@@ -839,6 +966,24 @@ def domain_overlap(spark, sf_dir):
     return v.domain_overlap(fixture(spark, sf_dir, "protein_rows"), fixture(spark, sf_dir, "protein_domains"))
 
 
+# Reading windows of three to nine million bases around genes, and spread sites.
+_WIDE = "SELECT gene_id, 'chr' || CAST(start1 % 3 + 1 AS string) AS contig, start1 * 90 AS low, start1 * 90 + 3000000 + start1 % 7 * 1000000 AS high FROM gtf_genes"
+_SPREAD = "SELECT k, chrom AS contig, CAST(pos AS bigint) * 1000 + k % 1000 AS place FROM sites"
+
+
+@query("interval_overlap", f"""
+SELECT w.gene_id, w.contig, w.low, w.high, count(*) AS n_sites, min(s.place) AS first_place, max(s.place) AS last_place
+FROM ({_WIDE}) AS w JOIN ({_SPREAD}) AS s ON w.contig = s.contig AND s.place BETWEEN w.low AND w.high
+GROUP BY w.gene_id, w.contig, w.low, w.high""", ("gtf_genes", "sites"))
+def interval_overlap(spark, sf_dir):
+    """Sites within windows of millions of bases; a window is in one or two bins."""
+    for table in ("gtf_genes", "sites"):
+        fixture(spark, sf_dir, table).createOrReplaceTempView(table)
+    pairs = v.overlap_join(spark.sql(_WIDE), spark.sql(_SPREAD), ["contig"], ("low", "high"), ("place", "place"))
+    return pairs.groupBy("gene_id", "contig", "low", "high").agg(
+        F.count("*").alias("n_sites"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+
+
 @query("protein_position_scores", """
 SELECT r.*, s.cpt1_score FROM protein_rows AS r LEFT JOIN position_scores AS s ON r.region = s.region
   AND r.amino_acids = s.amino_acids AND string_split(r.protein_position, '/')[1] = s.prot_pos""",

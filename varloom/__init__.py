@@ -6,6 +6,7 @@ from varloom.operators.dedupe import distinct_rows, keep_first, variant_metadata
 from varloom.operators.expand import add_variant_id, cast_fixed, expand_ann, expand_csq, null_tokens
 from varloom.operators.fill import fill_nulls, select_columns
 from varloom.operators.filters import filter_genes, query_filter, region_filter, site_filters
+from varloom.operators.intervals import overlap_join
 from varloom.operators.joins import balanced_join, join_variants, lookup_join
 from varloom.operators.one_hot import label_vocabulary, one_hot
 from varloom.operators.row_features import (
@@ -30,6 +31,7 @@ from varloom.plans.features import process_vep
 from varloom.plans.pipeline import FeatureConfig, run_pipeline
 from varloom import staging
 from varloom.session import build_session
+from varloom.sources.fasta_index import fetch_indexed, index_fasta, read_fasta_index
 from varloom.sources.reference_data import read_fasta_chunks, read_gtf, read_substitution_matrix
 from varloom.sources.sinks import publish_annotations, unpublished, write_annotations
 from varloom.sources.tables import (

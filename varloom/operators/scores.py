@@ -11,6 +11,7 @@ from varloom.functions.keys import VARIANT_KEY, without_chr
 from varloom.functions.positions import slash_part
 from varloom.operators.bloom import bloom_filter, bloom_reduced_join, might_match
 from varloom.operators.dedupe import keep_first
+from varloom.operators.intervals import overlap_join
 from varloom.operators.joins import balanced_join, lookup_join, membership_join
 from varloom.operators.row_features import lower_columns
 from varloom.operators.validate import validate_join
@@ -63,7 +64,8 @@ def first_per_transcript(df: DataFrame) -> DataFrame:
 
 def merge_pre_deleteriousness(df: DataFrame, conservation: DataFrame, value: str = "gpn_score") -> DataFrame:
     """One row per variant and transcript, nearest start first, with its score."""
-    return merge_scores(first_per_transcript(df), conservation.select(*VARIANT_KEY, value), VARIANT_KEY)
+    # Stored, since the search for heavy keys reads it as well as the join.
+    return merge_scores(staged(first_per_transcript(df)), conservation.select(*VARIANT_KEY, value), VARIANT_KEY)
 
 
 def merge_deleteriousness(df: DataFrame, scores: DataFrame, columns: Sequence[str],
@@ -159,9 +161,10 @@ def domain_overlap(df: DataFrame, domains: DataFrame, flags: Sequence[str] = DOM
     """Does a variant's protein start or end lie in a domain, by ``id`` and ``region``.
 
     A flag is the maximum over the domains hit by any row of the variant and
-    region, false if none. Each domain gives its flags to its residues, which
-    are reduced to one row for each before they meet the variants, so neither
-    a hot region nor a long domain list is paired off in full.
+    region, false if none. The distinct residues asked for meet the domains by
+    hierarchical bins, and each is reduced to one row of flags before it goes
+    back to the variants, so neither a hot region nor a domain of any length is
+    paired off in full.
     """
     if "protein_position" not in df.columns:
         return df
@@ -174,8 +177,9 @@ def domain_overlap(df: DataFrame, domains: DataFrame, flags: Sequence[str] = DOM
         .withColumn("residue", F.expr("try_cast(residue as int)"))
         .dropna().distinct()
     )
-    residues = F.explode(F.sequence(F.col("domain_start").cast("int"), F.col("domain_end").cast("int"))).alias("residue")
-    per_residue = (domains.where("domain_start <= domain_end").select("region", residues, *flags)
+    hits = staged(hits)
+    asked = hits.select("region", "residue").distinct()
+    per_residue = (overlap_join(asked, domains.select("region", "domain_start", "domain_end", *flags), ["region"], ("residue", "residue"), ("domain_start", "domain_end"))
                    .groupBy("region", "residue").agg(*[F.max(f).alias(f) for f in flags]))
     per_variant = (hits.join(per_residue, ["region", "residue"]).groupBy("id", "region")
                    .agg(*[F.max(f).alias(f) for f in flags]))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions.names import leading_columns, table_columns
+from varloom.operators.coverage import WatchedGap
 from varloom.operators.expand import add_variant_id, cast_fixed, expand_ann, expand_csq, null_tokens
 from varloom.operators.filters import region_filter, site_filters
 from varloom.operators.schema_check import (
@@ -76,8 +77,9 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
             raise ValueError(f"no {field} subfields in the header of {[r.path for r in without]}")
 
         hashes = fresh if published is None else published.select(*fresh.columns).unionByName(fresh)
+        run = uuid.uuid4().hex
         # The report needs its own copy: the staged headers go with this run.
-        hashes = spark.createDataFrame(hashes.collect(), hashes.schema)
+        hashes = sinks.keep_hashes(hashes, outdir, run)
         groups, report = check_schema(hashes)
         names = release["names"] if release is not None else _names_of(fields, fresh)
         sinks.write_schema_report(
@@ -89,9 +91,11 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
             sinks.open_release(spark, outdir, options, names, long)
         else:
             sinks.same_release(release, options, long.dtypes)
-        run = uuid.uuid4().hex
-        sinks.publish_annotations(long, outdir, run)
+        # Only the job that writes all rows is watched.
+        gap = WatchedGap(field)
+        sinks.publish_annotations(convert_annotations(gap.watch(sites), names, field, max_af, max_ac, region, with_ann), outdir, run)
         sinks.write_column_lists(spark, todo, table_columns(names, field), outdir, run)
+        sinks.record_coverage(spark, gap.counts(), outdir, run)
         sinks.record_published(fresh, outdir, run)
     return groups
 

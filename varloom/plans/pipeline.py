@@ -14,11 +14,12 @@ from varloom.operators import scores as score_merges
 from varloom.operators.dedupe import variant_metadata
 from varloom.operators.fill import fill_nulls
 from varloom.operators.row_features import lower_columns, tss_table
+from varloom.operators.validate import NullKeyError, WatchedKeys
 from varloom.operators.scores import conservation_scores, first_per_transcript, merge_deleteriousness, merge_scores
 from varloom.plans.features import process_vep
 from varloom.sources import reference_data, tables
 from varloom.sources.sinks import write_table
-from varloom.staging import staging_scope
+from varloom.staging import remove_path, staging_scope
 
 
 EXTRA_SCORES: dict[str, Callable[[DataFrame, DataFrame, Mapping[str, Any]], DataFrame]] = {
@@ -57,6 +58,8 @@ class FeatureConfig:
         "chrom": "#Chrom", "pos": "Pos", "ref": "Ref", "alt": "Alt", "gene": "GeneID"})
     deleteriousness_columns: Sequence[str] = ()
     dedupe: str | None = None
+    # Drop score rows of other variants by a Bloom filter before they are shuffled.
+    reduce_scores: bool = False
     # Further merges in this order: kind (a key of EXTRA_SCORES), path of a
     # Parquet table, and what else the kind needs (columns, n_samples).
     extra_scores: Sequence[Mapping[str, Any]] = ()
@@ -92,22 +95,29 @@ def run_pipeline(spark: SparkSession, config: FeatureConfig) -> DataFrame:
         matrix = reference_data.read_substitution_matrix(spark, config.substitution_matrix)
     genes = None if config.gene_list is None else tables.read_gene_list(spark, config.gene_list)
 
+    watched = WatchedKeys(VARIANT_KEY) if config.sanity_check else None
     table = stage("vep_processed", lambda: process_vep(
         annotations, tss_table(reference_data.read_gtf(spark, config.gtf)), matrix, chunks,
         reference_data.DEFAULT_CHUNK, genes, config.biotypes, config.consequence_sep, config.spliceai_sep,
-        config.vocabulary, config.sanity_check))
+        config.vocabulary, watched=watched))
+    if watched is not None:
+        try:
+            watched.check()
+        except NullKeyError:
+            remove_path(spark, f"{out}/vep_processed")
+            raise
     # One row per variant and transcript, whatever is merged after it.
     table = stage("first_rows", lambda: first_per_transcript(table))
 
     if config.conservation is not None:
         value = config.conservation_value
-        scored = stage("conservation", lambda: conservation_scores(table, spark.read.parquet(config.conservation), value))
+        scored = stage("conservation", lambda: conservation_scores(table, spark.read.parquet(config.conservation), value, config.reduce_scores))
         table = stage("pre_deleteriousness", lambda: merge_scores(table, scored.select(*VARIANT_KEY, value), VARIANT_KEY))
     if config.deleteriousness is not None:
         scores = tables.normalise_score_keys(
             spark.read.parquet(config.deleteriousness), **config.deleteriousness_keys)
         table = stage("merged", lambda: merge_deleteriousness(
-            table, scores, config.deleteriousness_columns, config.dedupe))
+            table, scores, config.deleteriousness_columns, config.dedupe, config.reduce_scores))
     for number, extra in enumerate(config.extra_scores, start=1):
         scores = spark.read.parquet(extra["path"])
         table = stage(f"extra_{number}", lambda: EXTRA_SCORES[extra["kind"]](table, scores, extra))
