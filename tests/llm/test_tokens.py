@@ -62,7 +62,7 @@ def test_blocks_round_trip(high, tmp_path):
 
 def test_an_incomplete_file_is_refused():
     with pytest.raises(ValueError):
-        TokenFile.open(b"VLTOKEN1" + bytes(100))
+        TokenFile.open(b"VLTOKEN2" + bytes(100))
 
 
 def test_token_output(spark, edge_docs, no_docs):
@@ -71,7 +71,7 @@ def test_token_output(spark, edge_docs, no_docs):
     wanted = Counter()
     for doc, text in texts_of():
         ids = np.array(tok.encode(text, add_special_tokens=False).ids + [2], "<u4")
-        wanted[(-(1 << 63) if doc is None else doc, len(ids), zlib.crc32(ids.tobytes()))] += 1
+        wanted[(doc, len(ids), zlib.crc32(ids.tobytes()))] += 1
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == wanted
     at = 0
     for r in sorted(found, key=lambda r: r.start):
@@ -172,3 +172,43 @@ def test_byte_bpe(spark, edge_docs, no_docs):
 
 def test_edge_rows_are_all_kinds():
     assert any(r[0] is None for r in EDGE_ROWS) and any(r[1] is None for r in EDGE_ROWS)
+
+
+def test_long_words_are_folded_alike(spark):
+    """Both kinds of fold, and the library beyond them, on words around their limits."""
+    import random
+
+    from varloom.llm.byte_bpe import CARRIED_FROM, LONGEST_FOLD, encode_word
+
+    import tiktoken
+
+    name = "byte_bpe_multi_50k.tiktoken"
+    bpe = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=read_ranks(name), special_tokens={})
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeiourstnlé") for _ in range(n)) for n in (1, 2, 20, CARRIED_FROM - 1, CARRIED_FROM, CARRIED_FROM + 1, 200, 900)] + ["z" * 700, " " * 90, "-" * 49]
+    table = spark.createDataFrame([(bytearray(w.encode()),) for w in words], "word binary")
+    found = {bytes(r.word).decode(): r.ids for r in table.select("word", encode_word(table.word, name).alias("ids")).collect()}
+    assert found == {w: bpe._encode_single_piece(w.encode()) for w in words}
+    over = spark.createDataFrame([(1, "x" * (LONGEST_FOLD + 5))], "doc_id long, text string")
+    assert bpe_report(over, name).first().n_tokens == len(bpe.encode_ordinary("x" * (LONGEST_FOLD + 5)))
+
+
+def test_byte_bpe_does_not_depend_on_the_input_splits(spark, tmp_path, monkeypatch):
+    from varloom.llm import byte_bpe
+    from varloom.llm.byte_bpe import decode_ids, encode_documents
+
+    # Many blocks in a task, with words that come back in the next block.
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 3000)
+
+    docs = spark.createDataFrame([(i, f"row {i} été " * (i % 7)) for i in range(4000)], "doc_id long, text string")
+    docs.coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "docs"))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "1g")
+        built = encode_documents(spark.read.parquet(str(tmp_path / "docs")), "byte_bpe_multi_50k.tiktoken")
+        spark.conf.set(setting, "4k")
+        decoded = built.select("doc_id", decode_ids(built.ids, "byte_bpe_multi_50k.tiktoken").cast("string").alias("text")).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(map(tuple, decoded)) == sorted(map(tuple, docs.collect()))

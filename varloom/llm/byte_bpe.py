@@ -1,23 +1,24 @@
 """Byte-level BPE as Spark higher-order functions over distinct words.
 
-1. Each input split lists the distinct words (pattern matches) of its texts.
-2. The distinct words of all splits are encoded once each: a fold over the
+1. Each block of rows lists the distinct words (pattern matches) of its texts.
+   A block is some rows of a file by their number, so both passes see the same
+   blocks however the file is dealt out to tasks.
+2. The distinct words of all blocks are encoded once each: a fold over the
    word's bytes merges, step by step, the leftmost adjacent pair with the
-   lowest rank. Ranks are a literal: an array of small maps, one for each
-   checksum of the bytes, because Spark looks keys up in a map one by one.
-3. The ids go back to the splits that have the word, as a Parquet folder for each
-   split; a second pass over the texts reads its split's folder and strings the
+   lowest rank. Every token is a number and every merge a pair of numbers, so
+   the literal rank map is lists of pairs and ranks by the pair's remainder.
+   Short words look all pairs up at each step; long ones carry the ranks along
+   and look up only the two beside a merge.
+3. The ids go back to the blocks that have the word, as a Parquet folder for each
+   block; a second pass over the texts reads its block's folder and strings the
    ids together. Texts are never exchanged.
-
-Bytes are written as hexadecimal text inside the fold, two digits each, so
-that slices and joins of bytes are those of text.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
-import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import byte_slices, text_or_empty, tokenizer_path
+from varloom.llm.common import byte_slices, shared_store, text_or_empty, tokenizer_path
 from varloom.llm.encoding import CACHE_CHUNKS, ChunkEncoder, plain_letters
 from varloom.llm.quality import let
 from varloom.staging import staged, staging_path
@@ -36,11 +37,14 @@ from varloom.staging import staged, staging_path
 # Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Longer words go to the library in the second pass: the fold takes a step for each byte.
-LONGEST_FOLD = 128
+#: Words above this carry their ranks through the fold; above the other one they go to the library in the second
+#: pass, as each of their bytes is a step over the whole word.
+CARRIED_FROM, LONGEST_FOLD = 48, 2048
 
-BUCKETS = 16384
-BATCH_BYTES = 6 << 20
+BUCKETS, PAIR_BUCKETS = 16384, 32749
+BATCH_BYTES = 8 << 20
+#: Text bytes of a block, on average.
+BLOCK_BYTES = 32 << 20
 _NONE = 2**31 - 1
 
 
@@ -51,7 +55,7 @@ def read_ranks(name: str) -> dict[bytes, int]:
 
 
 def rank_literal(name: str) -> Column:
-    """The ranks by checksum of the token's hexadecimal text."""
+    """The ranks of whole words by checksum of their hexadecimal text."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for token, rank in read_ranks(name).items():
         key = token.hex()
@@ -59,31 +63,65 @@ def rank_literal(name: str) -> Column:
     return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
 
 
-def encode_word(word: Column, ranks: Column) -> Column:
-    """Ids of one word, given as hexadecimal text; null beyond ``LONGEST_FOLD`` bytes."""
-    size = (F.length(word) / 2).cast("int")
+def pair_literal(name: str):
+    """A column function: the rank of two neighbouring tokens joined, ``_NONE`` if they are no token."""
+    ranks = read_ranks(name)
+    buckets: list[dict[int, int]] = [{} for _ in range(PAIR_BUCKETS)]
+    for token, rank in ranks.items():
+        for k in range(1, len(token)):
+            left, right = ranks.get(token[:k]), ranks.get(token[k:])
+            if left is not None and right is not None:
+                key = left << 32 | right
+                buckets[key % PAIR_BUCKETS][key] = rank
+    keys = F.from_json(F.lit(json.dumps([list(b) for b in buckets])), "array<array<bigint>>")
+    values = F.from_json(F.lit(json.dumps([list(b.values()) for b in buckets])), "array<array<int>>")
+
+    def rank(left: Column, right: Column) -> Column:
+        return let(left.cast("long") * F.lit(1 << 32) + right, lambda key: let((key % PAIR_BUCKETS).cast("int"), lambda b: F.coalesce(
+            F.get(F.get(values, b), (F.array_position(F.get(keys, b), key) - 1).cast("int")), F.lit(_NONE))))
+
+    return rank
+
 
-    def rank(token: Column) -> Column:
-        return F.element_at(ranks, (F.crc32(token) % BUCKETS).cast("int") + 1)[token]
+def encode_word(word: Column, name: str) -> Column:
+    """Ids of one word, given as binary; null beyond ``LONGEST_FOLD`` bytes."""
+    ranks, pair = read_ranks(name), pair_literal(name)
+    singles = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
+    size = F.octet_length(word)
+    none = F.array().cast("array<int>")
 
-    def merge(state: Column) -> Column:
-        parts = state["parts"]
-        pairs = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), lambda a, b: F.coalesce(rank(F.concat(a, b)), F.lit(_NONE)))
+    def pairs_of(parts: Column) -> Column:
+        return F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), pair)
 
+    def replaced(parts: Column, at: Column, token: Column) -> Column:
+        return F.concat(F.slice(parts, 1, at - 1), F.array(token), F.slice(parts, at + 2, F.size(parts)))
+
+    def looked_up(state: Column) -> Column:
         def at_best(found: Column) -> Column:
-            best = F.array_min(found)
-            return F.when(F.coalesce(best, F.lit(_NONE)) == _NONE, F.struct(parts.alias("parts"), F.lit(True).alias("done"))).otherwise(
-                let(F.array_position(found, best).cast("int"), lambda p: F.struct(
-                    F.concat(F.slice(parts, 1, p - 1), F.array(F.concat(F.element_at(parts, p), F.element_at(parts, p + 1))),
-                             F.slice(parts, p + 2, F.size(parts))).alias("parts"), F.lit(False).alias("done"))))
+            return let(F.array_min(found), lambda best: F.when(F.coalesce(best, F.lit(_NONE)) == _NONE, F.struct(state["parts"].alias("parts"), F.lit(True).alias("done")))
+                       .otherwise(F.struct(replaced(state["parts"], F.array_position(found, best).cast("int"), best).alias("parts"), F.lit(False).alias("done"))))
+
+        return F.when(state["done"], state).otherwise(let(pairs_of(state["parts"]), at_best))
+
+    def carried(state: Column) -> Column:
+        parts, found = state["parts"], state["ranks"]
 
-        return F.when(state["done"], state).otherwise(let(pairs, at_best))
+        def merged(at: Column, best: Column) -> Column:
+            left = F.when(at > 1, F.concat(F.slice(found, 1, at - 2), F.array(pair(F.get(parts, at - 2), best)))).otherwise(none)
+            right = F.when(at < F.size(found), F.concat(F.array(pair(best, F.get(parts, at + 1))), F.slice(found, at + 2, F.size(found)))).otherwise(none)
+            return F.struct(replaced(parts, at, best).alias("parts"), F.concat(left, right).alias("ranks"))
 
-    bytes_of = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, 2 * i - 1, F.lit(2)))
-    folded = F.aggregate(F.sequence(F.lit(2), size), F.struct(bytes_of.alias("parts"), F.lit(False).alias("done")),
-                         lambda state, _: merge(state), lambda state: F.transform(state["parts"], rank))
-    whole = rank(word)
-    return F.when(size == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).when(size <= LONGEST_FOLD, folded)
+        return let(F.coalesce(F.array_min(found), F.lit(_NONE)), lambda best: F.when(best == _NONE, state).otherwise(
+            let(F.array_position(found, best).cast("int"), lambda at: merged(at, best))))
+
+    steps, parts = F.sequence(F.lit(2), size), F.transform(
+        F.sequence(F.lit(1), size), lambda i: F.get(singles, F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
+    short = F.aggregate(steps, F.struct(parts.alias("parts"), F.lit(False).alias("done")), lambda state, _: looked_up(state), lambda state: state["parts"])
+    long = F.aggregate(steps, let(parts, lambda p: F.struct(p.alias("parts"), pairs_of(p).alias("ranks"))), lambda state, _: carried(state), lambda state: state["parts"])
+    text = F.lower(F.hex(word))
+    whole = F.element_at(rank_literal(name), (F.crc32(text) % BUCKETS).cast("int") + 1)[text]
+    return (F.when(size == 0, none).when(whole.isNotNull(), F.array(whole)).when(size == 1, parts)
+            .when(size <= CARRIED_FROM, short).when(size <= LONGEST_FOLD, long))
 
 
 def decode_ids(ids: Column, name: str) -> Column:
@@ -95,6 +133,29 @@ def decode_ids(ids: Column, name: str) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), ""))
 
 
+class Pieces:
+    """Byte strings by number, to be strung together for arrays of numbers."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+        self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def join(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+
+
+@lru_cache(maxsize=1)
+def digest_pieces(name: str) -> tuple[Pieces, Pieces]:
+    """Each token's id in decimal with a comma, and its bytes."""
+    tokens = [b""] * (max(read_ranks(name).values()) + 1)
+    for token, rank in read_ranks(name).items():
+        tokens[rank] = token
+    return Pieces([b"%d," % k for k in range(len(tokens))]), Pieces(tokens)
+
+
 class WordChunks(ChunkEncoder):
     """Chunks of a text as in ``encoding``; a chunk's value is what ``of_word`` gives for its words."""
 
@@ -117,31 +178,32 @@ class WordChunks(ChunkEncoder):
         return b"".join([self.of_word(word) for word in self.words(chunk)])
 
 
-def _split_key() -> Column:
-    """The input split of a row; a rare equal hash only merges two word lists."""
-    return F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+def split_runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Runs of rows with one split, in their order."""
+    splits = batch.column("split").to_numpy()
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(splits)) + 1])
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(splits)]):
+        yield int(splits[start]), batch.slice(start, end - start)
 
 
 def split_words(docs: DataFrame) -> DataFrame:
-    """(split, word) of ``docs`` (split, text), words as binary."""
+    """(split, word) of ``docs`` (split, text), words as binary; a split that comes in several runs may list a word again."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, set[str]] = {}
-        words: set[str] = set()
+        now, words = None, set()
         chunks = WordChunks(lambda word: words.add(word) or b"")
         for batch in byte_slices(batches, "text", BATCH_BYTES):
-            splits = batch.column("split").to_numpy()
-            for split in np.unique(splits):
-                words = found.setdefault(int(split), set())
-                # A chunk seen for one split must be seen for the next one too.
-                if len(found) > 1 or len(chunks) > CACHE_CHUNKS:
+            for split, run in split_runs(batch):
+                if split != now:
+                    if now is not None:
+                        yield _word_rows(now, words)
+                    now = split
+                    words.clear()
+                    # A chunk seen for one split must be seen for the next one too.
                     chunks.clear()
                 words.update(("\n", ".", ","))
-                chunks.encode(batch.column("text").filter(pa.array(splits == split)))
-            if len(found) > 1:
-                for split in [s for s in found if s != int(splits[-1])]:
-                    yield _word_rows(split, found.pop(split))
-        for split, rest in found.items():
-            yield _word_rows(split, rest)
+                chunks.encode(run.column("text"))
+        if now is not None:
+            yield _word_rows(now, words)
 
     return docs.mapInArrow(collect, "split long, word binary")
 
@@ -155,58 +217,66 @@ def word_ids(words: DataFrame, name: str) -> DataFrame:
 
     Each word comes once from every split, so a common word has a row for each split.
     """
-    ranks = rank_literal(name)
     distinct = words.groupBy("word").agg(F.collect_set("split").alias("splits"))
-    encoded = distinct.select("splits", "word", encode_word(F.lower(F.hex("word")), ranks).alias("ids"))
+    encoded = distinct.select("splits", "word", encode_word(F.col("word"), name).alias("ids"))
     return encoded.select(F.explode("splits").alias("split"), "word", "ids")
 
 
-def encode_documents(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id and ids. Null texts are empty and have none; repeated rows stay; a null id stays null.
+def _blocked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text, split: rows of Parquet files under the hash of their file and block; other input is stored first.
 
-    ``docs`` must come straight from files (else it is written to the shared
-    folder first), for both passes then see the same splits.
+    An equal hash only merges two word lists.
     """
-    spark = docs.sparkSession
+    own = (F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     try:
-        rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"), _split_key().alias("split"))
+        rows = docs.select(*own, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     except AnalysisException:
-        stored = staged(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text")))
-        rows = stored.select("doc_id", "text", _split_key().alias("split"))
-    folder = staging_path(spark)
+        rows = staged(docs.select(*own)).select("doc_id", "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    block = max(1, min(1 << 20, BLOCK_BYTES * size.n // max(1, size.bytes or 0)))
+    return rows.select("doc_id", "text", F.xxhash64("file", F.expr(f"row div {block}")).alias("split"))
+
+
+def encoded_batches(docs: DataFrame, name: str, doc_id: str, text: str, schema: str, emit) -> DataFrame:
+    """``emit(doc_ids, ids, ends)`` of every batch of rows: all their ids in order, and where each row's ids end."""
+    rows = _blocked(docs, doc_id, text)
+    folder = staging_path(docs.sparkSession)
     word_ids(split_words(rows.select("split", "text")), name).repartition("split").write.partitionBy("split").parquet(folder)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, now = None, None
         for batch in byte_slices(batches, "text", BATCH_BYTES):
-            splits = batch.column("split").to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero(np.diff(splits)) + 1, [len(splits)]])
-            for start, end in zip(starts[:-1], starts[1:]):
-                if chunks is None or splits[start] != now:
-                    now = splits[start]
-                    chunks = WordChunks(_word_table(folder, int(now), name))
-                part = batch.slice(start, end - start)
-                ids, ends = chunks.encode(part.column("text"))
-                offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))], ["doc_id", "ids"])
+            for split, run in split_runs(batch):
+                if chunks is None or split != now:
+                    now, chunks = split, None
+                    chunks = WordChunks(_word_table(folder, split, name))
+                yield emit(run.column("doc_id"), *chunks.encode(run.column("text")))
 
-    return rows.mapInArrow(apply, "doc_id long, ids array<int>")
+    return rows.mapInArrow(apply, schema)
+
+
+def encode_documents(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id and ids. Null texts are empty and have none; repeated rows stay; a null id stays null."""
+    def emit(doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        return pa.RecordBatch.from_arrays([doc_ids, pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))], ["doc_id", "ids"])
+
+    return encoded_batches(docs, name, doc_id, text, "doc_id long, ids array<int>", emit)
 
 
 def _word_table(folder: str, split: int, name: str):
     """Ids of the split's words as bytes; words too long for the fold by the library."""
     import pyarrow.dataset as ds
-    from pyarrow import fs
 
-    store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else os.path.abspath(folder))
+    store, base = shared_store(folder)
     # The folder's own files only: the writer's markers are not data.
     found = ds.dataset(f"{base}/split={split}", filesystem=store, format="parquet").to_table(columns=["word", "ids"])
     ids = found["ids"].combine_chunks()
-    flat, offsets, missing = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy(), ids.is_null().to_pylist()
-    raw = flat.tobytes()
-    table = {}
-    for word, start, end, unknown in zip(found["word"].to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), missing):
-        table[word.decode()] = np.array(_library(name)(word), "<u4").tobytes() if unknown else raw[4 * start:4 * end]
+    flat, offsets, missing = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy(), np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
+    raw, words = flat.tobytes(), [word.decode() for word in found["word"].to_pylist()]
+    table = {word: raw[start:end] for word, start, end in zip(words, (4 * offsets[:-1].astype(np.int64)).tolist(), (4 * offsets[1:].astype(np.int64)).tolist())}
+    for k in missing.tolist():
+        table[words[k]] = np.array(_library(name)(words[k]), "<u4").tobytes()
     return table.__getitem__
 
 
@@ -218,7 +288,16 @@ def _library(name: str):
 
 
 def bpe_report(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, digests of the decimal ids and of the decoded bytes."""
-    return encode_documents(docs, name, doc_id, text).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(decode_ids(F.col("ids"), name), 256).alias("decoded_sha256"))
+    """Per row: doc_id, n_tokens, digests of the decimal ids and of the decoded bytes.
+
+    Null and empty texts have no tokens and the digests of nothing, repeated
+    rows stay, a null id stays null.
+    """
+    def emit(doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        decimal, tokens = digest_pieces(name)
+        rows = np.split(ids, ends[:-1]) if len(ends) else []
+        return pa.RecordBatch.from_arrays(
+            [doc_ids, pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array([hashlib.sha256(decimal.join(r)[:-1]).hexdigest() for r in rows], pa.string()),
+             pa.array([hashlib.sha256(tokens.join(r)).hexdigest() for r in rows], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return encoded_batches(docs, name, doc_id, text, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", emit)

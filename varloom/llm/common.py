@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -11,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.sources.vcf import input_location
+
 #: Where the vocabulary files lie when no path is given.
 TOKENIZER_DIR = "/opt/tokenizers"
 
@@ -20,6 +23,26 @@ def tokenizer_path(name: str) -> str:
     return name if os.sep in name else os.path.join(TOKENIZER_DIR, name)
 
 
+def shared_store(folder: str):
+    """(Arrow file system, path in it) of a folder that Spark wrote, as a worker reaches it; schemes Arrow lacks go through Hadoop's client."""
+    from pyarrow import fs
+
+    place, known = input_location(folder)
+    if known:
+        return fs.FileSystem.from_uri(place if "://" in place else os.path.abspath(place))
+    return fs.HadoopFileSystem.from_uri(re.match(r"[^:]+:(//[^/]*)?", place).group()), place
+
+
+def free_names(taken, *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column of ``taken`` has it, whatever the case."""
+    lower, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in lower:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -16,7 +16,6 @@ numbers are little-endian. Block starts let a reader jump to any id.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import byte_slices, crc32_of, id_and_text
+from varloom.llm.common import byte_slices, crc32_of, id_and_text, shared_store
 from varloom.llm.encoding import chunk_encoder
 from varloom.staging import staging_path
 
-MAGIC = b"VLTOKEN1"
+MAGIC = b"VLTOKEN2"
 LANES = 32
 BLOCK = 32 * LANES
 HEADER = np.dtype([("minimum", "<u4"), ("width", "<u1"), ("spare", "<u1"), ("ids", "<u2"), ("exceptions", "<u4")])
-TAIL = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("starts_at", "<u8"), ("magic", "S8")])
+TAIL = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("starts_at", "<u8"), ("nulls", "<u8"), ("magic", "S8")])
 
 #: Texts are encoded in batches of so many bytes.
 BATCH_BYTES = 8 << 20
@@ -120,11 +119,13 @@ class TokenFileWriter:
         self.out, self.percentile = out, percentile
         self.at = out.write(MAGIC)
         self.pending: list[np.ndarray] = []
-        self.held, self.tokens = 0, 0
+        self.held, self.tokens, self.nulls = 0, 0, 0
         self.starts: list[int] = []
         self.ids, self.lengths = [], []
 
-    def add(self, doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray) -> None:
+    def add(self, doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, nulls: int = 0) -> None:
+        """Documents in order; the first ``nulls`` of a file, which come before all others, have no id."""
+        self.nulls += nulls
         self.ids.append(doc_ids.astype("<i8"))
         self.lengths.append(lengths.astype("<i8"))
         self.pending.append(tokens)
@@ -144,7 +145,7 @@ class TokenFileWriter:
 
     def close(self) -> None:
         self._flush(self.held)
-        tail = np.array((len(self.starts), sum(map(len, self.ids)), self.at, MAGIC), TAIL)
+        tail = np.array((len(self.starts), sum(map(len, self.ids)), self.at, self.nulls, MAGIC), TAIL)
         for part in (np.array(self.starts, "<u8"), *self.ids, *self.lengths, tail):
             self.out.write(part.tobytes())
 
@@ -157,6 +158,8 @@ class TokenFile:
     starts: np.ndarray
     doc_ids: np.ndarray
     ends: np.ndarray
+    #: Documents at the beginning that have no id.
+    nulls: int = 0
 
     @classmethod
     def open(cls, data) -> TokenFile:
@@ -167,7 +170,7 @@ class TokenFile:
         starts = np.frombuffer(data, "<u8", int(tail["blocks"]), at)
         at += starts.nbytes
         ids = np.frombuffer(data, "<i8", documents, at)
-        return cls(memoryview(data), starts, ids, np.cumsum(np.frombuffer(data, "<i8", documents, at + ids.nbytes)))
+        return cls(memoryview(data), starts, ids, np.cumsum(np.frombuffer(data, "<i8", documents, at + ids.nbytes)), int(tail["nulls"]))
 
     def tokens(self, start: int, end: int) -> np.ndarray:
         """Ids ``start`` to ``end`` of the file; only their blocks are decoded."""
@@ -191,21 +194,17 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     Documents are exchanged once, by ranges of ``doc_id``; each task sorts its
     range and writes one file. Null texts are empty, repeated ids are ordered
-    by text, an id that is null comes first and is stored as the smallest
-    number. The returned list of files (path, first key, tokens, documents) is
+    by text, rows without an id come first and stay without one. The returned list of files (path, first key, tokens, documents) is
     itself written to ``folder``: a file that a lost or repeated task left
     behind is not in it.
     """
     spark = docs.sparkSession
-    keyed = id_and_text(docs, doc_id, text).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    ordered = (keyed.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
+    ordered = (id_and_text(docs, doc_id, text).withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
                .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         encoder, writer, first, name = chunk_encoder(tokenizer), None, None, f"{uuid.uuid4().hex}.tok"
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else os.path.abspath(folder))
+        store, base = shared_store(folder)
         for batch in byte_slices(batches, "text", BATCH_BYTES):
             if writer is None:
                 store.create_dir(f"{base}/files", recursive=True)
@@ -213,7 +212,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                 first = batch.column("doc_id")[0].as_py()
             tokens, ends = encoder.encode(batch.column("text"))
             lengths = np.diff(ends, prepend=0) + 1
-            writer.add(batch.column("doc_id").to_numpy(), lengths, np.insert(tokens, ends, end_id))
+            own = batch.column("doc_id")
+            writer.add(own.fill_null(0).to_numpy(), lengths, np.insert(tokens, ends, end_id), own.null_count)
         if writer is not None:
             writer.close()
             writer.out.close()
@@ -240,9 +240,7 @@ def read_token_files(spark, folder: str) -> DataFrame:
     placed = files.withColumn("before", F.coalesce(F.sum("tokens").over(order), F.lit(0)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else os.path.abspath(folder))
+        store, base = shared_store(folder)
         for row in (r for batch in batches for r in batch.to_pylist()):
             with store.open_input_file(f"{base}/{row['path']}") as source:
                 opened = TokenFile.open(source.read_buffer())
@@ -252,7 +250,7 @@ def read_token_files(spark, folder: str) -> DataFrame:
                 shift = int(begins[0])
                 crc = [crc32_of(tokens[b - shift:e - shift]) for b, e in zip(begins, ends)]
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(opened.doc_ids[i:j]), "start": pa.array(begins + row["before"]),
+                    "doc_id": pa.array(opened.doc_ids[i:j], mask=np.arange(i, j) < opened.nulls), "start": pa.array(begins + row["before"]),
                     "n_tokens": pa.array(ends - begins), "ids_crc32": pa.array(crc, pa.int64()),
                     "file": [row["path"]] * (j - i)})
 
@@ -262,7 +260,10 @@ def read_token_files(spark, folder: str) -> DataFrame:
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> DataFrame:
-    """Write all documents as token files (in the shared folder if none is given) and read them back."""
+    """Write all documents as token files (in the shared folder if none is given) and read them back.
+
+    Null and empty texts are the end id alone, repeated rows are documents of their own, a null id stays null.
+    """
     folder = folder or staging_path(docs.sparkSession)
     write_token_files(docs, folder, tokenizer, end_id)
     return read_token_files(docs.sparkSession, folder)
