@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -398,11 +399,7 @@ GROUP BY contig, chunk // 3""", ("genome_chunks",))
 def read_fasta(spark, sf_dir):
     """One FASTA file per contig in 32-base lines, read back as 96-base chunks."""
     path = staging_path(spark)
-    genome = fixture(spark, sf_dir, "genome_chunks")
-    headers = genome.select("contig").distinct().select(
-        "contig", F.lit(-1).cast("bigint").alias("chunk"), F.concat(F.lit(">"), "contig").alias("seq"))
-    ordered = genome.unionByName(headers).repartition("contig").sortWithinPartitions("contig", "chunk")
-    ordered.select("contig", F.col("seq").alias("value")).write.partitionBy("contig").text(path)
+    _genome_lines(spark, sf_dir).write.partitionBy("contig").text(path)
     return v.read_fasta_chunks(spark, f"{path}/*/*.txt", 3 * CHUNK)
 
 
@@ -736,6 +733,23 @@ def bloom_reduced_scores(spark, sf_dir):
     return v.conservation_scores(part, fixture(spark, sf_dir, "conservation_raw"), reduce=True)
 
 
+@query("bucketed_merge", """
+SELECT t.id, t.chrom, t.pos, t.ref, t.alt, t.feature, t.gene AS region, c.gpn_score, d.phred, d.rawscore FROM long_table AS t
+LEFT JOIN (SELECT 'chr' || upper(chrom) AS chrom, pos, ref, alt, gpn_score FROM conservation_raw) AS c
+  ON t.chrom = c.chrom AND t.pos = c.pos AND t.ref = c.ref AND t.alt = c.alt
+LEFT JOIN deleteriousness_raw AS d ON t.chrom = 'chr' || d.chrom AND t.pos = d.pos AND t.ref = d.ref AND t.alt = d.alt AND t.gene = d.geneid""",
+       ("long_table", "conservation_raw", "deleteriousness_raw"))
+def bucketed_merge(spark, sf_dir):
+    """Score tables stored in buckets of the variant key, merged twice without an exchange."""
+    name = uuid.uuid4().hex
+    long = fixture(spark, sf_dir, "long_table").select("id", *VARIANT_KEY, "feature", F.col("gene").alias("region"))
+    raw = fixture(spark, sf_dir, "conservation_raw")
+    conservation = raw.select(F.concat(F.lit("chr"), F.upper("chrom")).alias("chrom"), "pos", "ref", "alt", "gpn_score")
+    scores = v.normalise_score_keys(fixture(spark, sf_dir, "deleteriousness_raw"), gene="geneid").drop("id")
+    stored = [v.store_bucketed(df, f"varloom_{kind}_{name}", VARIANT_KEY, 8, staging_path(spark)) for kind, df in (("long", long), ("a", conservation), ("b", scores))]
+    return v.merge_bucketed(v.merge_bucketed(stored[0], stored[1], VARIANT_KEY), stored[2], [*VARIANT_KEY, "region"])
+
+
 def _delete_join(source: str) -> str:
     return f"""
 SELECT t.*, CAST(d.phred AS float) AS phred, CAST(d.rawscore AS float) AS rawscore FROM ({source}) AS t
@@ -892,20 +906,13 @@ def feature_table(spark, sf_dir):
     return v.fill_nulls(merged, spec, [*_KEEP[:-1], "phred", "gpn_score"])
 
 
-@query("run_pipeline", _FEATURES, (*_VEP_TABLES, "conservation_raw", "deleteriousness_raw"))
-def run_pipeline(spark, sf_dir):
-    """The same build by the job itself, from files: annotation folders, GTF, FASTA, matrix, gene list, scores."""
-    path = staging_path(spark)
-    fixture(spark, sf_dir, "long_table").write.parquet(f"{path}/in/shard-1/subshard-1/annotations.parquet")
+def _pipeline_config(spark: SparkSession, sf_dir: str, path: str, **given) -> v.FeatureConfig:
+    """Reference files below ``path``: GTF, FASTA, matrix, gene list, scores; and the configuration that names them."""
     attributes = F.format_string('gene_id "%s"; gene_type "%s";', "gene_id", "gene_type")
     dot = F.lit(".")
     fixture(spark, sf_dir, "gtf_genes").select(F.concat_ws(
         "\t", "seqname", F.lit("TEST"), "feature", "start1", "end1", dot, "strand", dot, attributes)).write.text(f"{path}/genes.gtf")
-    genome = fixture(spark, sf_dir, "genome_chunks")
-    headers = genome.select("contig").distinct().select(
-        "contig", F.lit(-1).cast("bigint").alias("chunk"), F.concat(F.lit(">"), "contig").alias("seq"))
-    ordered = genome.unionByName(headers).repartition("contig").sortWithinPartitions("contig", "chunk")
-    ordered.select("contig", F.col("seq").alias("value")).write.partitionBy("contig").text(f"{path}/genome")
+    _genome_lines(spark, sf_dir).write.partitionBy("contig").text(f"{path}/genome")
     cells = fixture(spark, sf_dir, "substitution_matrix").where("ref_aa >= alt_aa")
     triangle = cells.groupBy("ref_aa").agg(F.sort_array(F.collect_list(F.struct("alt_aa", "blosum62"))).alias("row")).select(
         "ref_aa", F.concat_ws(" ", F.transform("row", lambda c: c.blosum62.cast("int").cast("string"))).alias("line"))
@@ -915,12 +922,31 @@ def run_pipeline(spark, sf_dir):
     fixture(spark, sf_dir, "genes_to_keep").select(F.col("gene").alias("gene_id")).write.parquet(f"{path}/genes")
     fixture(spark, sf_dir, "conservation_raw").write.parquet(f"{path}/conservation")
     fixture(spark, sf_dir, "deleteriousness_raw").write.parquet(f"{path}/scores")
-    return v.run_pipeline(spark, v.FeatureConfig(
-        outdir=f"{path}/out", gtf=f"{path}/genes.gtf", roots=[f"{path}/in"], fasta=f"{path}/genome/*/*.txt",
+    return v.FeatureConfig(
+        outdir=f"{path}/out", gtf=f"{path}/genes.gtf", fasta=f"{path}/genome/*/*.txt",
         substitution_matrix=f"{path}/matrix", gene_list=f"{path}/genes", biotypes=["protein_coding", "lncRNA"], vocabulary=LABELS,
         conservation=f"{path}/conservation", deleteriousness=f"{path}/scores", deleteriousness_columns=["phred", "rawscore"],
         deleteriousness_keys={"chrom": "chrom", "pos": "pos", "ref": "ref", "alt": "alt", "gene": "geneid"},
-        fill={**_SPEC, "phred": [0], "gpn_score": [0]}, keep=[*_KEEP[:-1], "phred", "gpn_score"]))
+        fill={**_SPEC, "phred": [0], "gpn_score": [0]}, keep=[*_KEEP[:-1], "phred", "gpn_score"], **given)
+
+
+@query("run_pipeline", _FEATURES, (*_VEP_TABLES, "conservation_raw", "deleteriousness_raw"))
+def run_pipeline(spark, sf_dir):
+    """The same build by the job itself, from files: annotation folders, GTF, FASTA, matrix, gene list, scores."""
+    path = staging_path(spark)
+    fixture(spark, sf_dir, "long_table").write.parquet(f"{path}/in/shard-1/subshard-1/annotations.parquet")
+    return v.run_pipeline(spark, _pipeline_config(spark, sf_dir, path, roots=[f"{path}/in"]))
+
+
+@query("incremental_features", _FEATURES, (*_VEP_TABLES, "conservation_raw", "deleteriousness_raw"))
+def incremental_features(spark, sf_dir):
+    """The same features, built in two runs as the release grows; the second run reads only what is new."""
+    path, root = staging_path(spark), _release_files(spark, sf_dir)
+    config = _pipeline_config(spark, sf_dir, path, published=f"{path}/long", incremental=True)
+    for subshard in ("subshard-0", "subshard-*"):
+        v.convert_release(spark, root, f"{path}/long", subshards=subshard, vcf_name="*.vcf.gz", with_ann=False)
+        found = v.run_pipeline(spark, config)
+    return found
 
 
 # ── Merges the reference keeps switched off ────────────────────────────────

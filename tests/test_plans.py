@@ -84,3 +84,37 @@ def test_two_score_merges_share_the_shuffle_of_the_wide_table(spark, table):
 def test_lookups_read_only_what_they_need(table):
     genes = v.filter_genes(table.withColumnRenamed("region", "gene"), table.select(F.col("region").alias("gene")))
     assert "BroadcastHashJoin" in plan(genes) and "LeftSemi" in plan(genes)
+
+
+def test_bucketed_merges_exchange_nothing(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("concat('chr', id % 5) as chrom", "id % 700 as pos", "'A' as ref", "'T' as alt", "concat('g', id % 3) as region", "id as own")
+    left = v.store_bucketed(rows, "plans_left", VARIANT_KEY, 4, str(tmp_path / "left"))
+    one = v.store_bucketed(rows.groupBy(*VARIANT_KEY).agg(F.max("own").alias("score")), "plans_one", VARIANT_KEY, 4, str(tmp_path / "one"))
+    two = v.store_bucketed(rows.groupBy(*VARIANT_KEY, "region").agg(F.min("own").alias("other")), "plans_two", VARIANT_KEY, 4, str(tmp_path / "two"))
+    merged = v.merge_bucketed(v.merge_bucketed(left, one, VARIANT_KEY), two, [*VARIANT_KEY, "region"])
+    text = plan(merged)
+    assert "Exchange" not in text and text.count("SortMergeJoin") == 2 and "Bucketed: true" in text
+    wanted = rows.join(one, VARIANT_KEY, "left").join(two, [*VARIANT_KEY, "region"], "left").select(*merged.columns)
+    assert merged.exceptAll(wanted).count() == 0 and merged.count() == 3000
+    with pytest.raises(ValueError, match="already present"):
+        v.merge_bucketed(left, two.withColumnRenamed("other", "own"), [*VARIANT_KEY, "region"])
+    with pytest.raises(ValueError, match="not a bucketed"):
+        v.merge_bucketed(left, rows, VARIANT_KEY)
+    other = v.store_bucketed(rows.select(*VARIANT_KEY, F.col("own").alias("x")), "plans_other", VARIANT_KEY, 8, str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="buckets differ"):
+        v.merge_bucketed(left, other, VARIANT_KEY)
+
+
+def test_watched_counts_need_no_scan_of_their_own(spark, table, tmp_path):
+    from varloom.operators.coverage import WatchedGap
+    from varloom.operators.validate import NullKeyError, WatchedKeys
+
+    raw = spark.createDataFrame([("A,T", "x"), ("A", None), ("A", "."), ("A", "y")], "ALT string, CSQ string")
+    raw.write.parquet(str(tmp_path / "raw"))
+    gap, keys = WatchedGap(), WatchedKeys(["ALT", "CSQ"])
+    passing = keys.watch(gap.watch(spark.read.parquet(str(tmp_path / "raw"))))
+    assert plan(passing).count("FileScan") == 1 and plan(passing).count("CollectMetrics") == 2
+    passing.write.parquet(str(tmp_path / "out"))
+    assert gap.counts() == {"n_sites": 4, "n_unannotated": 2, "n_multiallelic": 1}
+    with pytest.raises(NullKeyError, match="'CSQ': 1"):
+        keys.check()

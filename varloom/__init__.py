@@ -16,6 +16,7 @@ from varloom.operators.row_features import (
 from varloom.operators.schema_check import (
     SchemaMismatch, check_schema, enforce_one_schema, schema_groups, schema_hashes,
 )
+from varloom.operators.bucketed import merge_bucketed, store_bucketed
 from varloom.operators.scores import (
     cohort_maf, conservation_scores, domain_overlap, downcast_doubles, expression_scores, merge_deleteriousness,
     merge_pre_deleteriousness, merge_scores, missense_model_scores, promoter_scores, protein_position_scores,
@@ -28,6 +29,7 @@ from varloom.operators.validate import (
 )
 from varloom.plans.convert import convert_annotations, convert_release
 from varloom.plans.features import process_vep
+from varloom.plans.incremental import read_features, update_features
 from varloom.plans.pipeline import FeatureConfig, run_pipeline
 from varloom import staging
 from varloom.session import build_session

@@ -65,6 +65,8 @@ class FeatureConfig:
     extra_scores: Sequence[Mapping[str, Any]] = ()
     fill: Mapping[str, Sequence[Any]] | None = None
     keep: Sequence[str] = ()
+    # Build only what was published since the last run into ``outdir``.
+    incremental: bool = False
 
 
 def run_pipeline(spark: SparkSession, config: FeatureConfig) -> DataFrame:
@@ -73,7 +75,12 @@ def run_pipeline(spark: SparkSession, config: FeatureConfig) -> DataFrame:
     Every stage is written before the next reads it. That cuts the lineage, so
     a lost executor repeats part of one stage, and lets the size and skew
     checks of later joins scan a few columns instead of recomputing the table.
+    An ``incremental`` build is ``plans.incremental.update_features``.
     """
+    if config.incremental:
+        from varloom.plans.incremental import update_features
+
+        return update_features(spark, config)
     out = config.outdir.rstrip("/")
 
     def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
