@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import text_or_empty
+from varloom.llm.common import byte_slices, free_names, text_or_empty
 from varloom.llm.components import connected_components
+from varloom.operators.joins import lookup_join
 from varloom.staging import staged
 
 SYMBOLS = 48
@@ -39,6 +40,9 @@ CLUSTER_BLOCK = 1_024
 #: Bytes of full sets in a block of a cluster, on average; one set may be larger.
 CLUSTER_BYTES = 32 << 20
 
+#: Bytes of text that a task turns into sets at once.
+BATCH_BYTES = 8 << 20
+
 _NO_ID = -(1 << 63)
 
 
@@ -106,7 +110,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, tie, n_shingles, node (the set's key; null without words), signature."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in byte_slices(batches, "text", BATCH_BYTES):
             counts, nodes, signs = [], [], []
             for text in batch.column("text").to_pylist():
                 shingles = shingle_set(text, size)
@@ -182,9 +186,10 @@ def in_blocks(members: DataFrame, group: str, block: int, weight: str | None = N
     blocks = F.ceil(F.count(F.lit(1)) / block)
     if weight is not None:
         blocks = F.greatest(blocks, F.ceil(F.sum(weight) / limit))
-    sizes = members.groupBy(group).agg(blocks.cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    small = members.join(sizes, group).withColumn("own", own)
+    # Groups of more than one block are few (each holds a block's rows or bytes), so a hot one is not dealt by its key.
+    large = staged(members.groupBy(group).agg(blocks.cast("int").alias("blocks")).where("blocks > 1"))
+    sized = lookup_join(members, large, [group]).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    small = sized.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
     tasks = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(others)
@@ -274,17 +279,17 @@ def candidate_links(buckets: DataFrame, classes: DataFrame, distance: int) -> Da
 def confirmed_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): spanning forests of the true links within each cluster, from the full sets.
 
-    ``members``: node, doc_id (whose text has the set), cluster.
+    ``members``: node, doc_id and tie (of a row whose text has the set), cluster.
     """
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in byte_slices(batches, "text", BATCH_BYTES):
             sets = [shingle_set(text, size) for text in batch.column("text").to_pylist()]
             same = pa.array([set_key(s) == node for s, node in zip(sets, batch.column("node").to_pylist())])
             yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("node"), pa.array([s.nbytes for s in sets], pa.int64()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], ["cluster", "node", "n_bytes", "shingles"]).filter(same)
 
-    texts = docs.join(members, "doc_id").select("cluster", "node", "text")
-    # An id may stand for several texts; one row for each set stays.
+    # An id may stand for many texts, so the text's hash is part of the key; one row for each set stays.
+    texts = docs.join(members, ["doc_id", "tie"]).select("cluster", "node", "text")
     sets = texts.mapInArrow(rebuild, "cluster binary, node binary, n_bytes long, shingles binary")
     names = ["cluster", "i", "j"]
 
@@ -301,7 +306,7 @@ def confirmed_links(docs: DataFrame, members: DataFrame, size: int, percent: int
                     right.append(start + y)
             yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left, pa.int64())), nodes.take(pa.array(right, pa.int64()))], ["a", "b"])
 
-    return (in_blocks(sets.dropDuplicates(["node"]), "cluster", CLUSTER_BLOCK, "n_bytes", CLUSTER_BYTES).select(*names, "node", "shingles")
+    return (in_blocks(staged(sets.dropDuplicates(["node"])), "cluster", CLUSTER_BLOCK, "n_bytes", CLUSTER_BYTES).select(*names, "node", "shingles")
             .repartition(*names).sortWithinPartitions(*names).mapInArrow(compare, "a binary, b binary"))
 
 
@@ -332,11 +337,12 @@ def classified(keyed: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     """The signed rows of ``keyed`` (doc_id, text, tie), and (node, component, component_id) of every class."""
     signed = staged(signatures(keyed, size))
     distance = allowed_distance(percent)
-    classes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature")))
+    classes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "tie")).alias("first"), F.min("signature").alias("signature"))
+                     .select("node", F.col("first.doc_id").alias("first_id"), F.col("first.tie").alias("tie"), "signature"))
     buckets = staged(shared_buckets(classes, distance))
     clusters = connected_components(candidate_links(buckets, classes, distance))
-    members = clusters.join(classes, "node").select("node", F.col("first_id").alias("doc_id"), F.col("component").alias("cluster"))
-    found = connected_components(confirmed_links(keyed.select("doc_id", "text"), members, size, percent))
+    members = clusters.join(classes, "node").select("node", F.col("first_id").alias("doc_id"), "tie", F.col("component").alias("cluster"))
+    found = connected_components(confirmed_links(keyed, members, size, percent))
     grouped = found.join(classes.select("node", "first_id"), "node")
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return signed, (classes.select("node", "first_id").join(found, "node", "left").join(smallest, "component", "left")
@@ -366,9 +372,10 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, doc_id:
     named = signed.select("doc_id", "tie", "node").join(of_class.select("node", "component"), "node", "left")
     grouped = named.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "tie")).alias("first"))
     stay = grouped.select("first.doc_id", "first.tie").union(named.where("component IS NULL").select("doc_id", "tie").distinct())
-    own = docs.withColumns({"_at": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)), "_tie": F.xxhash64(text_or_empty(text))})
-    once = own.withColumn("_row", F.row_number().over(Window.partitionBy("_at", "_tie").orderBy(F.lit(0)))).where("_row = 1")
-    return (once.join(stay.select(F.col("doc_id").alias("_at"), F.col("tie").alias("_tie")), ["_at", "_tie"], "left_semi")
+    at, tie, row = free_names(docs.columns, "at", "tie", "row")
+    own = docs.withColumns({at: F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)), tie: F.xxhash64(text_or_empty(text))})
+    once = own.withColumn(row, F.row_number().over(Window.partitionBy(at, tie).orderBy(F.lit(0)))).where(F.col(row) == 1)
+    return (once.join(stay.select(F.col("doc_id").alias(at), F.col("tie").alias(tie)), [at, tie], "left_semi")
             .select(*[f"`{c}`" for c in docs.columns]))
 
 
