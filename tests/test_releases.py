@@ -177,3 +177,33 @@ def test_the_package_runs_from_a_zip(tmp_path):
     done = subprocess.run([sys.executable, str(copied), "--help"], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(target)},
                           capture_output=True, text=True, timeout=120)
     assert done.returncode == 0 and "list-fields" in done.stdout
+
+
+def test_published_files_follow_the_coordinates(spark, tmp_path):
+    """One file read in many ranges: names, bounds in the footers and rows are in order, and a filter on POS passes over files."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from varloom.sources.bgzf import as_member
+
+    text = vcf_text([f"chr1\t{pos}\t.\tA\tG\t9\tPASS\tAC=1;CSQ=G|x|g|h|0" for pos in range(1000, 5000)]).encode()
+    folder = tmp_path / "vcf" / "shard-1" / "subshard-1"
+    folder.mkdir(parents=True)
+    (folder / "a.annotated.vcf.gz").write_bytes(b"".join(as_member(text[i:i + 3000]) for i in range(0, len(text), 3000)) + as_member(b""))
+    convert_release(spark, str(tmp_path / "vcf"), str(tmp_path / "out"), with_ann=False, split_bytes=4000, rows_per_file=150)
+    files = sorted(glob.glob(str(tmp_path / "out" / "annotations" / "*" / "*" / "*" / "*.parquet")))
+    bounds, rows_of = [], []
+    for file in files:
+        own = pq.read_table(file)["POS"].to_pylist()
+        meta = pq.ParquetFile(file).metadata
+        column = meta.schema.names.index("POS")
+        stats = [meta.row_group(k).column(column).statistics for k in range(meta.num_row_groups)]
+        bounds.append((min(s.min for s in stats), max(s.max for s in stats)))
+        assert bounds[-1] == (own[0], own[-1]) and own == sorted(own) and len(own) <= 150
+        rows_of += own
+    assert rows_of == list(range(1000, 5000)) and len(files) >= 27
+    assert sum(low <= 2010 and high >= 2000 for low, high in bounds) <= 2
+    found = read_published(spark, str(tmp_path / "out")).where("POS between 2000 and 2010")
+    assert found.count() == 11 and "PushedFilters: [IsNotNull(POS), GreaterThanOrEqual(POS,2000), LessThanOrEqual(POS,2010)]" in \
+        found._jdf.queryExecution().executedPlan().toString()

@@ -50,7 +50,8 @@ def convert_annotations(sites: DataFrame, names: Sequence[str], field: str = "CS
 def convert_release(spark: SparkSession, annotation_root: str, outdir: str, field: str = "CSQ",
                     shards: str = "shard-*", subshards: str = "subshard-*", vcf_name: str = DEFAULT_VCF_NAME,
                     max_af: float | None = None, max_ac: int | None = None, with_ann: bool = True,
-                    region: str | Sequence[str] | None = None, split_bytes: int = DEFAULT_SPLIT) -> DataFrame:
+                    region: str | Sequence[str] | None = None, split_bytes: int = DEFAULT_SPLIT,
+                    rows_per_file: int = sinks.ROWS_PER_FILE) -> DataFrame:
     """Convert every file not published yet; returns the schema groups.
 
     All headers, those of earlier runs included, must agree before any record
@@ -93,7 +94,7 @@ def convert_release(spark: SparkSession, annotation_root: str, outdir: str, fiel
             sinks.same_release(release, options, long.dtypes)
         # Only the job that writes all rows is watched.
         gap = WatchedGap(field)
-        sinks.publish_annotations(convert_annotations(gap.watch(sites), names, field, max_af, max_ac, region, with_ann), outdir, run)
+        sinks.publish_annotations(convert_annotations(gap.watch(sites), names, field, max_af, max_ac, region, with_ann), outdir, run, rows_per_file)
         sinks.write_column_lists(spark, todo, table_columns(names, field), outdir, run)
         sinks.record_coverage(spark, gap.counts(), outdir, run)
         sinks.record_published(fresh, outdir, run)
