@@ -10,10 +10,14 @@ import duckdb
 import numpy as np
 import pytest
 from llm_cases import EDGE_ROWS
+from test_chat_format import wanted as brute_chats
 from test_documents import base_counts, base_spans, brute_components, judged
+from test_prefix_trie import brute_trie
+from test_spelling import brute_variants
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
+from varloom.llm.chat_format import HARD_CASE
 from varloom.llm.common import tokenizer_path
 from varloom.llm.queries import ORACLES, QUERIES
 from varloom.llm.url_rules import RULES
@@ -28,7 +32,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables n
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return con
 
@@ -40,7 +44,7 @@ def documents(duck):
 
 def test_all_are_registered():
     registered = spark_entry.queries()
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(registered) and set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
@@ -60,6 +64,12 @@ def test_queries_against_brute_force(spark, duck, documents):
     assert sorted(tuple(r)[:3] for r in found) == sorted(brute_components(documents, 3, 85))
     urls = duck.execute("SELECT page_id, url FROM pages").fetchall()
     assert Counter(map(tuple, QUERIES["op9_url_filter"](spark, SF_DIR).collect())) == Counter((i, *judged(u, RULES)) for i, u in urls)
+    docs = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect()]
+    assert {tuple(r) for r in QUERIES["op11_prefix_trie"](spark, SF_DIR).collect()} == brute_trie(docs)
+    found = QUERIES["op12_spelling_variants"](spark, SF_DIR).collect()
+    assert {tuple(r) for r in found} == brute_variants(documents) and len(found) == len(set(found))
+    found = QUERIES["op13_chat_format"](spark, SF_DIR).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in found} == brute_chats(docs + [(HARD_CASE[0], *t) for t in HARD_CASE[1]])
     found = QUERIES["op10_quality_rules"](spark, SF_DIR).collect()
     assert Counter(tuple(r)[:6] for r in found) == Counter((d, *base_counts(t)) for d, t in documents)
 
@@ -102,6 +112,22 @@ def test_the_pipeline_takes_edge_cases(spark, tmp_path):
         assert {r.doc_id for r in found} == ({4} if rows else set())
 
 
+def test_later_stages_take_edge_cases(spark):
+    """Each stage after the first on all edge rows and on none."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    edge = [(d, t, "en", s, len(t or "")) for d, t, s in EDGE_ROWS]
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        docs = spark.createDataFrame(edge, schema)
+        found = stage(spark, docs, SF_DIR).collect()
+        assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+        if name == "near_dedup":
+            assert {(r.doc_id, r.text) for r in found} <= {(d, t) for d, t, *_ in edge} and len(found) == len(set(found))
+        elif name == "secret_scan":
+            assert Counter((r.doc_id, r.text, r.source) for r in found) == Counter((d, t, s) for d, t, _, s, _ in edge)
+        else:
+            assert Counter(r.doc_id for r in found if r.start == 0) == Counter(d for d, *_ in edge)
+
+
 def test_the_entry_works_without_this_subpackage(tmp_path):
     for name in ("__spark_entry__.py", "fixture_queries.py", "fixture_tables.py"):
         shutil.copy(os.path.join(ROOT, name), tmp_path / name)

@@ -137,7 +137,10 @@ def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...]
 
 
 def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document the base counters, whether they fail it, and the cascade's verdict."""
+    """Per document the base counters, whether they fail it, and the cascade's verdict.
+
+    Null and empty texts count nothing and fail; repeated rows stay, null ids stay null, no rows give none.
+    """
     ordered = rule_order(docs, MORE_RULES, text)
     body = text_or_empty(text)
 

@@ -201,7 +201,10 @@ def fingerprint_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """Per row: its fingerprint, that of its edited text, and how near the two, and the next row's, are.
 
     The edited text ends with the beginning of the next row's text instead of
-    its own last third.
+    its own last third. Rows follow each other by descending id (null is the
+    smallest), then by text; repeated rows follow each other. Null and empty
+    texts have an empty fingerprint; two of those are alike. A table of one row
+    is followed by itself, an empty one gives no rows.
     """
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
