@@ -64,6 +64,14 @@ def test_quality_runs_no_python(spark, edge_docs):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange hash" not in plan
 
 
+def test_many_near_copies_under_one_id(spark):
+    """Rows without an id, all near copies: each text meets its own set only."""
+    body = " ".join(f"w{i}" for i in range(120))
+    docs = spark.range(1500).selectExpr("cast(null as long) as doc_id", f"concat('{body}', ' x', id) as text").repartition(8)
+    found = near_duplicates(docs, 3, 85).collect()
+    assert len(found) == 1500 and {tuple(r) for r in found} == {(None, 119, None, True)}
+
+
 # secrets
 
 PATTERNS = [("assign", re.compile(BASE_RULES[0].pattern, re.ASCII), lambda m: len(m.group(2)) >= 6),
@@ -94,11 +102,31 @@ def test_secrets(spark, edge_docs, no_docs):
 
 def test_redaction(spark):
     docs = spark.createDataFrame([(0, SECRETS[2], 1), (1, "clean", 2), (2, None, 3), (3, SECRETS[5], 4)], "doc_id long, text string, secret_spans int")
-    found = {r.doc_id: r for r in redact(docs.drop("secret_spans")).collect()}
+    found = {r.doc_id: r for r in redact(docs).collect()}
+    assert redact(docs).columns == docs.columns and [found[i].secret_spans for i in range(4)] == [1, 2, 3, 4]
     assert found[0].text == "😀 [assign]\" [assign] [assign]'" and found[1].text == "clean" and found[2].text is None
     assert found[3].text == "[code_host]"
 
 
+def test_redaction_of_odd_tables(spark):
+    text = "é " * 200_000 + "token=abcdefgh"
+    rows = [(0, text, "k", "r", "s", "l"), (0, text, "k", "r", "s", "l"), (None, "", "k", "r", "s", "l"), (None, None, "k", "r", "s", "l"), (1, "clean", "k", "r", "s", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, secret_key string, secret_rules string, `key` string, lists string")
+    found = redact(docs)
+    clean = "é " * 200_000 + "[assign]"
+    assert Counter(map(tuple, found.collect())) == Counter((r[0], clean if r[1] == text else r[1], *r[2:]) for r in rows) and found.columns == docs.columns
+    assert redact(docs.limit(0)).count() == 0
+
+
+def test_posting_lists_are_intersected(spark):
+    from varloom.llm.secrets import candidates, posting_lists
+
+    index = spark.createDataFrame([(t, k) for k in range(60) for t in ("aki", "kia", "ghp") if k % {"aki": 2, "kia": 3, "ghp": 5}[t] == 0], "trigram string, key long")
+    assert {t: len(keys) for r in posting_lists(index).collect() for t, keys in r.lists.items()} == {"aki": 30, "kia": 20, "ghp": 12}
+    found = {r.key: r.rules for r in candidates(index, (BASE_RULES[1],)).collect()}
+    assert found == {k: ["access"] for k in range(0, 60, 6)}
+
+
 def test_trigram_queries():
     assert trigram_query("[0-9a-f]{24,}") is None
     assert trigram_query("AKIA[A-Z0-9]{16,}") == ("and", ("aki", "kia"))
@@ -226,6 +254,10 @@ def test_near_duplicates_of_edge_cases(edge_docs, no_docs):
     texts = Counter(r.text for r in kept.collect())
     assert texts["same text here"] == 1 and texts["another text under one id"] == 1 and max(texts.values()) <= 2
     assert keep_one_of_each(no_docs).count() == 0
+    # Names of helpers and their values stay the caller's.
+    named = edge_docs.selectExpr("doc_id", "text", "1 as at", "2 as tie", "3 as row", "4 as _at", "5 as component", "6 as cluster", "7 as first")
+    assert Counter((r.doc_id, r.text) for r in keep_one_of_each(named, 3, 85).collect()) == Counter((r.doc_id, r.text) for r in kept.collect())
+    assert {tuple(r)[2:] for r in keep_one_of_each(named, 3, 85).collect()} == {tuple(range(1, 8))}
 
 
 def test_hamming_join_misses_no_pair_within_the_distance():

@@ -1,10 +1,11 @@
 """Secrets in texts, found through a trigram inverted index.
 
 From each rule's pattern a Boolean trigram query is derived. One pass over the
-texts writes the postings of the trigrams that the queries name; the postings
-of a document, brought together, tell which rules it is a candidate of. Only
-those rules' patterns run on its text. Rules without a mandatory trigram scan
-every text. Everything is column expressions.
+texts writes the postings of the trigrams that the queries name. The index
+keeps, for each block of documents, a sorted list of documents by trigram; a rule's query
+intersects and unites the lists it names, and what is left are the rule's
+candidates. Only those patterns run on a text. Rules without a mandatory
+trigram scan every text. Everything is column expressions.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import text_or_empty
+from varloom.llm.common import free_names, text_or_empty
 from varloom.llm.quality import let
-from varloom.llm.trigrams import checked, holds, trigram_query, trigrams_of
+from varloom.llm.trigrams import checked, trigram_query, trigrams_of
 from varloom.staging import staged
 
 
@@ -47,6 +48,9 @@ RULES = BASE_RULES + (
     SecretRule("payment", r"[rs]k_live_[A-Za-z0-9]{16,}"),
 )
 
+#: Postings of a block of the index, on average.
+BLOCK_POSTINGS = 50_000
+
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -57,16 +61,31 @@ def postings(docs: DataFrame, trigrams: set[str]) -> DataFrame:
     return docs.select("key", F.explode(has).alias("trigram")).select("trigram", "key")
 
 
+def posting_lists(index: DataFrame) -> DataFrame:
+    """(block, lists): the postings (trigram, key) of a block of documents as a sorted list of keys by trigram."""
+    blocks = max(1, -(-index.count() // BLOCK_POSTINGS))
+    lists = index.groupBy(F.pmod("key", F.lit(blocks)).alias("block"), "trigram").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    return lists.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "keys"))).alias("lists"))
+
+
+def matching(query, lists: Column) -> Column:
+    """Keys of the documents that satisfy a trigram query, from the lists of their block."""
+    if isinstance(query, str):
+        return F.coalesce(F.element_at(lists, F.lit(query)), F.array().cast("array<bigint>"))
+    combine = F.array_intersect if query[0] == "and" else F.array_union
+    return reduce(combine, [matching(part, lists) for part in query[1]])
+
+
 def candidates(index: DataFrame, rules: tuple[SecretRule, ...]) -> DataFrame:
     """(key, rules): the rules whose trigram query the document's postings satisfy.
 
-    A document has at most as many postings as the queries have trigrams, so
-    no group is large, and common trigrams are spread over their documents.
+    A block holds ``BLOCK_POSTINGS`` postings on average, dealt by the hash of
+    documents, so a trigram that most documents have is spread over all blocks.
     """
-    found = index.groupBy("key").agg(F.collect_set("trigram").alias("found"))
     queries = {rule.kind: trigram_query(checked(rule.pattern)) for rule in rules}
-    wanted = F.array_compact(F.array(*[F.when(holds(q, F.col("found")), F.lit(kind)) for kind, q in queries.items() if q is not None]))
-    return found.select("key", wanted.alias("rules")).where(F.size("rules") > 0)
+    found = F.array(*[F.struct(F.lit(kind).alias("kind"), matching(q, F.col("lists")).alias("keys")) for kind, q in queries.items() if q is not None])
+    hits = posting_lists(index).select(F.explode(found).alias("f")).select("f.kind", F.explode("f.keys").alias("key"))
+    return hits.groupBy("key").agg(F.collect_list("kind").alias("rules"))
 
 
 def rule_spans(text: Column, rule: SecretRule, kind: int) -> Column:
@@ -91,25 +110,28 @@ def rule_spans(text: Column, rule: SecretRule, kind: int) -> Column:
     return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(SPAN))
 
 
-def with_spans(docs: DataFrame, text: str = "text", rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``secret_spans``: (start, index of the rule, end) by start, then rule.
+def with_spans(docs: DataFrame, text: str = "text", rules: tuple[SecretRule, ...] = RULES, into: str = "secret_spans") -> DataFrame:
+    """``docs`` with ``into``: (start, index of the rule, end) by start, then rule; ``into`` must be a new name.
 
-    Null and empty texts have none. Rows are told apart by a hash of the whole
+    Null and empty texts have none; repeated rows and equal texts are alike;
+    texts of any length are scanned whole. Rows are told apart by a hash of the whole
     row key and text; equal hashes only make more candidates. One exchange of
     the texts brings them to their candidate rules.
     """
+    if into.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {into!r} already")
+    key, fits = free_names([*docs.columns, into], "secret_key", "secret_rules")
     queries = [trigram_query(checked(rule.pattern)) for rule in rules]
     body = text_or_empty(text)
-    keyed = docs.withColumn("secret_key", F.xxhash64(body, F.octet_length(body), *[F.col(f"`{c}`") for c, t in docs.dtypes if t in ("bigint", "int")]))
-    index = staged(postings(keyed.select(F.col("secret_key").alias("key"), body.alias("text")), set().union(*map(trigrams_of, queries))))
-    wanted = candidates(index, rules).withColumnsRenamed({"key": "secret_key", "rules": "secret_rules"})
-    joined = keyed.join(wanted, "secret_key", "left")
+    keyed = docs.withColumn(key, F.xxhash64(body, F.octet_length(body), *[F.col(f"`{c}`") for c, t in docs.dtypes if t in ("bigint", "int")]))
+    index = staged(postings(keyed.select(F.col(key).alias("key"), body.alias("text")), set().union(*map(trigrams_of, queries))))
+    wanted = candidates(index, rules).withColumnsRenamed({"key": key, "rules": fits})
+    joined = keyed.join(wanted, key, "left")
     spans = []
     for k, (rule, query) in enumerate(zip(rules, queries)):
         own = rule_spans(body, rule, k)
-        spans.append(own if query is None else F.when(F.array_contains("secret_rules", rule.kind), own).otherwise(F.array().cast(SPAN)))
-    return (joined.withColumn("secret_spans", F.array_sort(F.concat(*spans)))
-            .select(*[f"`{c}`" for c in docs.columns], "secret_spans"))
+        spans.append(own if query is None else F.when(F.array_contains(fits, rule.kind), own).otherwise(F.array().cast(SPAN)))
+    return joined.withColumn(into, F.array_sort(F.concat(*spans))).select(*[f"`{c}`" for c in docs.columns], into)
 
 
 def spans_text(spans: Column, rules: tuple[SecretRule, ...] = RULES) -> Column:
@@ -118,7 +140,10 @@ def spans_text(spans: Column, rules: tuple[SecretRule, ...] = RULES) -> Column:
 
 
 def secret_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document the counts of the base kinds, the digest of their spans, and all spans."""
+    """Per document the counts of the base kinds, the digest of their spans, and all spans.
+
+    Null and empty texts have counts of zero and no spans, repeated rows stay, null ids stay null, no rows give none.
+    """
     found = with_spans(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))).select("doc_id", "secret_spans")
 
     def count(kind: int) -> Column:
@@ -130,16 +155,20 @@ def secret_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def redact(docs: DataFrame, text: str = "text", rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """``docs`` with each secret replaced by ``[kind]``; overlapping spans become one. Other columns stay."""
+    """``docs`` with each secret replaced by ``[kind]``; overlapping spans become one. Other columns stay.
+
+    Texts without a secret, nulls included, stay as they are, whatever names the columns have.
+    """
     names = reduce(lambda out, rule: [*out, F.lit(f"[{rule.kind}]")], rules, [])
     body = text_or_empty(text)
+    spans, = free_names(docs.columns, "secret_spans")
 
     def step(acc, s):
         starts = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
         return F.when(s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))).otherwise(
             F.struct(F.concat(acc["out"], starts, F.element_at(F.array(*names), s["kind"] + 1)).alias("out"), s["end"].alias("at")))
 
-    found = with_spans(docs, text, rules)
-    clean = F.aggregate("secret_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
+    found = with_spans(docs, text, rules, spans)
+    clean = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
                         lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.char_length(body))))
-    return found.withColumn(text, F.when(F.size("secret_spans") > 0, clean).otherwise(F.col(f"`{text}`"))).drop("secret_spans")
+    return found.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(F.col(f"`{text}`"))).drop(spans)

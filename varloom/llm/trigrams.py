@@ -6,9 +6,6 @@ import re
 from re import _constants as kinds
 from re import _parser as parser
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 #: Classes up to this size are spelled out; more spelled strings than this are cut.
 MAX_CLASS = 8
 MAX_STRINGS = 64
@@ -38,19 +35,6 @@ def trigrams_of(query: Query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(trigrams_of, query[1]))
 
 
-def holds(query: Query, found: Column) -> Column:
-    """Whether the trigrams of a document satisfy the query."""
-    if query is None:
-        return F.lit(True)
-    if isinstance(query, str):
-        return F.array_contains(found, query)
-    parts = [holds(p, found) for p in query[1]]
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined & part if query[0] == "and" else combined | part
-    return combined
-
-
 def _of_strings(strings: set[str]) -> Query:
     """One of the strings occurs, with all its trigrams."""
     return join("or", [join("and", [s[i:i + 3] for i in range(len(s) - 2)]) for s in sorted(strings)])
