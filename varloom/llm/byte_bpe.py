@@ -167,6 +167,7 @@ class WordChunks(ChunkEncoder):
         self.drops_space = False
         self.line = self._library("\n")
         self.marks = {mark: self._library(mark) for mark in ".,"}
+        self.spaced = {}
 
     def _encode(self, chunk: str) -> bytes:
         # Letters with or without a space before them are one word.
@@ -200,6 +201,7 @@ def split_words(docs: DataFrame) -> DataFrame:
                     words.clear()
                     # A chunk seen for one split must be seen for the next one too.
                     chunks.clear()
+                    chunks.spaced.clear()
                 words.update(("\n", ".", ","))
                 chunks.encode(run.column("text"))
         if now is not None:

@@ -49,6 +49,7 @@ class ChunkEncoder(dict):
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.line = b"" if self.drops_space else self._library("\n")
         self.marks = {mark: self._library(mark) for mark in ".,"}
+        self.spaced: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self[chunk] = self._encode(chunk)
@@ -87,10 +88,18 @@ class ChunkEncoder(dict):
             chunk = chunk.lower()
         return head + self[before + chunk] + tail
 
+    def _after_space(self, chunk: str) -> bytes:
+        """Ids of a chunk with the space before it, remembered as a whole."""
+        found = self.spaced.get(chunk)
+        if found is None:
+            found = self.spaced[chunk] = self._chunk(chunk, "" if self.drops_space else " ")
+        return found
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` (no nulls) in order, and where each text's ids end."""
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
+        for cache in (self, self.spaced):
+            if len(cache) > CACHE_CHUNKS:
+                cache.clear()
         if len(texts) and pc.max(pc.utf8_length(texts)).as_py() > LONG_TEXT:
             return self._encode_long(texts)
         return self._encode_batch(texts.cast(pa.string()))
@@ -101,7 +110,7 @@ class ChunkEncoder(dict):
         flat = split.flatten().dictionary_encode()
         codes, chunks = flat.indices.to_numpy(), flat.dictionary.to_pylist()
         if self.drops_space:
-            encoded = [self._chunk(c, "") for c in chunks]
+            encoded = [self._after_space(c) for c in chunks]
         else:
             # Runs of white space may be cut otherwise by the library.
             first, last = bounds[:-1], bounds[1:] - 1
@@ -123,7 +132,7 @@ class ChunkEncoder(dict):
             codes[first] = len(chunks) + places
             follows = np.zeros(len(chunks) + len(opening), bool)
             follows[codes] = True
-            encoded = [self._chunk(c, " ") if f else b"" for c, f in zip(chunks, follows)] + openings
+            encoded = [self._after_space(c) if f else b"" for c, f in zip(chunks, follows)] + openings
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) >> 2
         table, starts = np.frombuffer(b"".join(encoded), "<u4"), np.cumsum(sizes) - sizes
         lengths = sizes[codes]
