@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.operators.filters import parse_region, region_filter
-from varloom.sources.bgzf import DEFAULT_SPLIT, as_member, byte_ranges, first_member, members
+from varloom.sources.bgzf import DEFAULT_SPLIT, as_member, byte_ranges, first_member, members, task_count
 from varloom.sources.vcf import open_input, open_output, read_sites
 
 SUFFIX = ".tbi"
@@ -249,7 +249,7 @@ def region_ranges(files: DataFrame, regions: Sequence[str], split_bytes: int = D
 
 
 def read_range_lines(ranges: DataFrame) -> DataFrame:
-    """The lines of ``region_ranges`` as rows ``value, path``; a range is one task's."""
+    """The lines of ``region_ranges`` as rows ``value, path``; a range is one task's, which may have several."""
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
@@ -271,7 +271,9 @@ def read_range_lines(ranges: DataFrame) -> DataFrame:
                     if text:
                         yield pd.DataFrame({"value": text.removesuffix(b"\n").split(b"\n"), "path": row.path})
 
-    found = ranges.repartition(max(1, ranges.count())).mapInPandas(lines, "value binary, path string")
+    size = ranges.agg(F.count("*"), F.sum("bytes")).first()
+    dealt = ranges.repartition(task_count(ranges.sparkSession, size[0], size[1] or 0))
+    found = dealt.mapInPandas(lines, "value binary, path string")
     return found.select(F.rtrim(F.col("value").cast("string"), F.lit("\r")).alias("value"), "path")
 
 
