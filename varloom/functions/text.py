@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +26,16 @@ def to_number(value: Column, dtype: str) -> Column:
     return F.when(value.rlike(pattern), value.try_cast(dtype))
 
 
+def info_entries(info: Column) -> Column:
+    """An INFO string with a separator before its first entry too, for ``entry_value``."""
+    return F.concat(F.lit(";"), info)
+
+
+def entry_value(entries: Column, tag: str) -> Column:
+    """Text of the first ``tag=`` entry; empty if there is none."""
+    return F.regexp_extract(entries, f";{re.escape(tag)}=([^;]*)", 1)
+
+
 def info_value(info: Column, tag: str) -> Column:
     """Value of the first ``tag=`` entry of a ``;``-separated INFO string."""
-    after = F.split_part(F.concat(F.lit(";"), info), F.lit(f";{tag}="), F.lit(2))
-    return missing_to_null(F.substring_index(after, ";", 1))
+    return missing_to_null(entry_value(info_entries(info), tag))

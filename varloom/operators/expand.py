@@ -34,13 +34,15 @@ def add_variant_id(df: DataFrame, name: str = "ID") -> DataFrame:
     return df.withColumn(name, variant_id(*[F.col(c[k]) for k in ("chrom", "pos", "ref", "alt")]))
 
 
-def _entries(packed: Column) -> Column:
-    """``a|b,c|d`` as an array of arrays.
+def _exploded(df: DataFrame, kept: Sequence[str], entries: Column) -> DataFrame:
+    """One row per entry of ``a|b,c|d`` with its subfields as ``_parts``.
 
-    Each entry is split once, inside the generator; a split above it would be
-    repeated for every output column.
+    Each entry is split once, as the only row of a second generator: a split in
+    a projection would be repeated for every output column, and one in a lambda
+    over the entries is interpreted.
     """
-    return F.transform(F.split(packed, ","), lambda entry: F.split(entry, r"\|", -1))
+    listed = df.select(*kept, entries.alias("_entry"))
+    return listed.select(*kept, F.explode(F.array(F.split("_entry", r"\|", -1))).alias("_parts"))
 
 
 def expand_csq(df: DataFrame, names: Sequence[str], col: str = "CSQ") -> DataFrame:
@@ -50,7 +52,7 @@ def expand_csq(df: DataFrame, names: Sequence[str], col: str = "CSQ") -> DataFra
     """
     kept = [c for c in df.columns if c != col]
     annotated = df.where(missing_to_null(F.col(col)).isNotNull())
-    exploded = annotated.select(*kept, F.explode(_entries(F.col(col))).alias("_parts"))
+    exploded = _exploded(annotated, kept, F.explode(F.split(col, ",")))
     return exploded.select(*kept, *[
         missing_to_null(F.get("_parts", F.lit(i))).alias(name) for i, name in enumerate(names)
     ])
@@ -64,7 +66,7 @@ def expand_ann(df: DataFrame, col: str = "ANN", names: Sequence[str] = ANN_COLUM
     """
     taken = {c.lower() for c in df.columns}
     added = [(i, name) for i, name in enumerate(names) if name.lower() not in taken]
-    exploded = df.select("*", F.explode_outer(_entries(F.col(col))).alias("_parts"))
+    exploded = _exploded(df, df.columns, F.explode_outer(F.split(col, ",")))
     return exploded.select(*df.columns, *[
         F.nullif(F.get("_parts", F.lit(i)), F.lit("")).alias(name) for i, name in added
     ])

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from varloom.functions.names import CARRIED, sanitise_names, table_columns
-from varloom.functions.text import info_value, missing_to_null
+from varloom.functions.text import entry_value, info_entries, missing_to_null
 
 DEFAULT_VCF_NAME = "*.annotated.vcf.gz"
 
@@ -53,19 +53,14 @@ def read_sites(spark: SparkSession, paths: str | Sequence[str],
     """
     if lines is None:
         lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
-    fields = (
-        lines.where(~F.col("value").startswith("#"))
-        .select("path", F.split("value", "\t", 9).alias("f"))
-    )
-    names = ("CHROM", "POS", None, "REF", "ALT", "QUAL", "FILTER", "INFO")
-    records = fields.select(
-        "path", *[F.get("f", F.lit(i)).alias(name) for i, name in enumerate(names) if name]
-    )
-    sites = records.select(
-        "path",
-        *[missing_to_null(F.col(c)).alias(c) for c in names if c and c != "INFO"],
-        *[info_value(F.col("INFO"), tag).alias(tag) for tag in info],
-    )
+    # Both steps go through a generator of one row: what comes after sees finished cells. In a projection Spark
+    # would repeat the splits of a line in each filter and missing-value test built on top of it.
+    fields = lines.where(~F.col("value").startswith("#")).select("path", F.explode(F.array(F.split("value", "\t", 9))).alias("f"))
+    names = ("CHROM", "POS", None, "REF", "ALT", "QUAL", "FILTER")
+    fixed = [F.get("f", F.lit(i)).alias(name) for i, name in enumerate(names) if name]
+    padded = fields.select("path", "f", info_entries(F.get("f", F.lit(7))).alias("entries"))
+    records = padded.select("path", F.inline(F.array(F.struct(*fixed, *[entry_value(F.col("entries"), tag).alias(tag) for tag in info]))))
+    sites = records.select("path", *[missing_to_null(F.col(f"`{c}`")).alias(c) for c in records.columns if c != "path"])
     return _with_partition_names(sites, F.col("path")).drop("path")
 
 
