@@ -47,14 +47,18 @@ def conservation_scores(df: DataFrame, scores: DataFrame, value: str = "gpn_scor
 
 def merge_scores(df: DataFrame, scores: DataFrame, on: Sequence[str], cardinality: str = "m:1",
                  validate: bool = True) -> DataFrame:
-    """Left join of a score table after checking the cardinality of the key."""
+    """Left join of a score table after checking the cardinality of the key.
+
+    Without ``validate`` the caller vouches for it. Rows are the same either
+    way; a right side of unique keys only needs no search for heavy ones,
+    which would compute it twice more.
+    """
     clashes = sorted((set(scores.columns) - set(on)) & set(df.columns))
     if clashes:
         raise ValueError(f"score columns already present: {clashes}")
     if validate:
         validate_join(df, scores, on, cardinality)
-    unique = validate and cardinality.endswith(":1")
-    return balanced_join(df, scores, on, "left", right_unique=unique)
+    return balanced_join(df, scores, on, "left", right_unique=cardinality.endswith(":1"))
 
 
 def first_per_transcript(df: DataFrame) -> DataFrame:
