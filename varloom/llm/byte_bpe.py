@@ -43,6 +43,8 @@ CARRIED_FROM, LONGEST_FOLD = 48, 2048
 
 BUCKETS, PAIR_BUCKETS = 16384, 32749
 BATCH_BYTES = 8 << 20
+#: Words that a block's table takes at a time.
+TABLE_ROWS = 1 << 14
 #: Text bytes of a block, on average.
 BLOCK_BYTES = 32 << 20
 _NONE = 2**31 - 1
@@ -169,11 +171,12 @@ class WordChunks(ChunkEncoder):
         self.marks = {mark: self._library(mark) for mark in ".,"}
         self.spaced = {}
 
-    def _encode(self, chunk: str) -> bytes:
-        # Letters with or without a space before them are one word.
+    def __missing__(self, chunk: str) -> bytes:
+        # Letters with or without a space before them are one word: its value is at hand, so it is not kept here once more.
         if plain_letters(chunk[1:] if chunk[:1] == " " else chunk):
             return self.of_word(chunk)
-        return self._library(chunk)
+        ids = self[chunk] = self._library(chunk)
+        return ids
 
     def _library(self, chunk: str) -> bytes:
         return b"".join([self.of_word(word) for word in self.words(chunk)])
@@ -272,13 +275,18 @@ def _word_table(folder: str, split: int, name: str):
 
     store, base = shared_store(folder)
     # The folder's own files only: the writer's markers are not data.
-    found = ds.dataset(f"{base}/split={split}", filesystem=store, format="parquet").to_table(columns=["word", "ids"])
-    ids = found["ids"].combine_chunks()
-    flat, offsets, missing = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy(), np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
-    raw, words = flat.tobytes(), [word.decode() for word in found["word"].to_pylist()]
-    table = {word: raw[start:end] for word, start, end in zip(words, (4 * offsets[:-1].astype(np.int64)).tolist(), (4 * offsets[1:].astype(np.int64)).tolist())}
-    for k in missing.tolist():
-        table[words[k]] = np.array(_library(name)(words[k]), "<u4").tobytes()
+    found = ds.dataset(f"{base}/split={split}", filesystem=store, format="parquet")
+    table = {}
+    # In small batches, as the lists made of each take several times the room of the table.
+    for batch in found.to_batches(columns=["word", "ids"], batch_size=TABLE_ROWS, batch_readahead=1, fragment_readahead=1, use_threads=False):
+        ids = batch.column("ids")
+        first, last = ids.offsets[0].as_py(), ids.offsets[-1].as_py()
+        raw = ids.values.slice(first, last - first).to_numpy().astype("<u4").tobytes()
+        places = (4 * (ids.offsets.to_numpy().astype(np.int64) - first)).tolist()
+        words = [word.decode() for word in batch.column("word").to_pylist()]
+        table.update((word, raw[start:end]) for word, start, end in zip(words, places, places[1:]))
+        for k in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)).tolist():
+            table[words[k]] = np.array(_library(name)(words[k]), "<u4").tobytes()
     return table.__getitem__
 
 
