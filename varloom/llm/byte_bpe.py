@@ -47,7 +47,6 @@ BATCH_BYTES = 8 << 20
 TABLE_ROWS = 1 << 14
 #: Text bytes of a block, on average.
 BLOCK_BYTES = 32 << 20
-_NONE = 2**31 - 1
 
 
 @lru_cache(maxsize=2)
@@ -66,7 +65,7 @@ def rank_literal(name: str) -> Column:
 
 
 def pair_literal(name: str):
-    """A column function: the rank of two neighbouring tokens joined, ``_NONE`` if they are no token."""
+    """A column function: the rank of two neighbouring tokens joined, by ``pair_key``; null if they are no token."""
     ranks = read_ranks(name)
     buckets: list[dict[int, int]] = [{} for _ in range(PAIR_BUCKETS)]
     for token, rank in ranks.items():
@@ -76,53 +75,68 @@ def pair_literal(name: str):
                 key = left << 32 | right
                 buckets[key % PAIR_BUCKETS][key] = rank
     keys = F.from_json(F.lit(json.dumps([list(b) for b in buckets])), "array<array<bigint>>")
-    values = F.from_json(F.lit(json.dumps([list(b.values()) for b in buckets])), "array<array<int>>")
+    values = F.from_json(F.lit(json.dumps([list(b.values()) for b in buckets])), "array<array<bigint>>")
 
-    def rank(left: Column, right: Column) -> Column:
-        return let(left.cast("long") * F.lit(1 << 32) + right, lambda key: let((key % PAIR_BUCKETS).cast("int"), lambda b: F.coalesce(
-            F.get(F.get(values, b), (F.array_position(F.get(keys, b), key) - 1).cast("int")), F.lit(_NONE))))
+    def rank(key: Column) -> Column:
+        # The bucket is written twice: a remainder is cheaper than an array to hold it.
+        bucket = (key % PAIR_BUCKETS).cast("int")
+        return F.get(F.get(values, bucket), (F.array_position(F.get(keys, bucket), key) - 1).cast("int"))
 
     return rank
 
 
+def pair_key(left: Column, right: Column) -> Column:
+    return left * F.lit(1 << 32) + right
+
+
+def byte_ids(word: Column, name: str) -> Column:
+    """The ids of a word's bytes. The low bytes of the checksums of single bytes are all different."""
+    ranks, table = read_ranks(name), [0] * 256
+    for i in range(256):
+        table[zlib.crc32(bytes([i])) & 255] = ranks[bytes([i])]
+    singles = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
+    return F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.get(singles, F.crc32(F.substring(word, i, F.lit(1))).bitwiseAND(255).cast("int")))
+
+
 def encode_word(word: Column, name: str) -> Column:
     """Ids of one word, given as binary; null beyond ``LONGEST_FOLD`` bytes."""
-    ranks, pair = read_ranks(name), pair_literal(name)
-    singles = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
+    rank = pair_literal(name)
     size = F.octet_length(word)
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
 
-    def pairs_of(parts: Column) -> Column:
-        return F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), pair)
+    def ranks_of(parts: Column) -> Column:
+        # The last part has no neighbour, so its key and rank are null.
+        return F.transform(F.transform(parts, lambda left, i: pair_key(left, F.get(parts, i + 1))), rank)
 
-    def replaced(parts: Column, at: Column, token: Column) -> Column:
-        return F.concat(F.slice(parts, 1, at - 1), F.array(token), F.slice(parts, at + 2, F.size(parts)))
+    def lowest(found: Column) -> Column:
+        best = F.array_min(found)
+        return F.struct(best.alias("rank"), F.array_position(found, best).cast("int").alias("at"))
 
-    def looked_up(state: Column) -> Column:
-        def at_best(found: Column) -> Column:
-            return let(F.array_min(found), lambda best: F.when(F.coalesce(best, F.lit(_NONE)) == _NONE, F.struct(state["parts"].alias("parts"), F.lit(True).alias("done")))
-                       .otherwise(F.struct(replaced(state["parts"], F.array_position(found, best).cast("int"), best).alias("parts"), F.lit(False).alias("done"))))
+    def replaced(parts: Column, best: Column) -> Column:
+        return F.concat(F.slice(parts, 1, best["at"] - 1), F.array(best["rank"]), F.slice(parts, best["at"] + 2, F.size(parts)))
 
-        return F.when(state["done"], state).otherwise(let(pairs_of(state["parts"]), at_best))
+    def looked_up(state: Column) -> Column:
+        parts = state["parts"]
+        return F.when(state["done"], state).otherwise(let(ranks_of(parts), lambda found: let(lowest(found), lambda best: F.when(
+            best["rank"].isNull(), F.struct(parts.alias("parts"), F.lit(True).alias("done"))).otherwise(F.struct(replaced(parts, best).alias("parts"), F.lit(False).alias("done"))))))
 
     def carried(state: Column) -> Column:
         parts, found = state["parts"], state["ranks"]
 
-        def merged(at: Column, best: Column) -> Column:
-            left = F.when(at > 1, F.concat(F.slice(found, 1, at - 2), F.array(pair(F.get(parts, at - 2), best)))).otherwise(none)
-            right = F.when(at < F.size(found), F.concat(F.array(pair(best, F.get(parts, at + 1))), F.slice(found, at + 2, F.size(found)))).otherwise(none)
-            return F.struct(replaced(parts, at, best).alias("parts"), F.concat(left, right).alias("ranks"))
+        def merged(best: Column) -> Column:
+            at, token = best["at"], best["rank"]
+            left = F.when(at > 1, F.concat(F.slice(found, 1, at - 2), F.array(rank(pair_key(F.get(parts, at - 2), token))))).otherwise(none)
+            right = F.concat(F.array(rank(pair_key(token, F.get(parts, at + 1)))), F.slice(found, at + 2, F.size(found)))
+            return F.struct(replaced(parts, best).alias("parts"), F.concat(left, right).alias("ranks"))
 
-        return let(F.coalesce(F.array_min(found), F.lit(_NONE)), lambda best: F.when(best == _NONE, state).otherwise(
-            let(F.array_position(found, best).cast("int"), lambda at: merged(at, best))))
+        return let(lowest(found), lambda best: F.when(best["rank"].isNull(), state).otherwise(merged(best)))
 
-    steps, parts = F.sequence(F.lit(2), size), F.transform(
-        F.sequence(F.lit(1), size), lambda i: F.get(singles, F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
-    short = F.aggregate(steps, F.struct(parts.alias("parts"), F.lit(False).alias("done")), lambda state, _: looked_up(state), lambda state: state["parts"])
-    long = F.aggregate(steps, let(parts, lambda p: F.struct(p.alias("parts"), pairs_of(p).alias("ranks"))), lambda state, _: carried(state), lambda state: state["parts"])
+    steps, parts = F.sequence(F.lit(2), size), byte_ids(word, name)
+    short = F.aggregate(steps, F.struct(parts.alias("parts"), F.lit(False).alias("done")), lambda state, _: looked_up(state), lambda state: state["parts"].cast("array<int>"))
+    long = F.aggregate(steps, let(parts, lambda p: F.struct(p.alias("parts"), ranks_of(p).alias("ranks"))), lambda state, _: carried(state), lambda state: state["parts"].cast("array<int>"))
     text = F.lower(F.hex(word))
     whole = F.element_at(rank_literal(name), (F.crc32(text) % BUCKETS).cast("int") + 1)[text]
-    return (F.when(size == 0, none).when(whole.isNotNull(), F.array(whole)).when(size == 1, parts)
+    return (F.when(size == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).when(size == 1, parts.cast("array<int>"))
             .when(size <= CARRIED_FROM, short).when(size <= LONGEST_FOLD, long))
 
 
