@@ -25,12 +25,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm.common import byte_slices, shared_store, text_or_empty, tokenizer_path
-from varloom.llm.encoding import CACHE_CHUNKS, ChunkEncoder, plain_letters
+from varloom.llm.encoding import LINE, ChunkEncoder, plain_letters
 from varloom.llm.quality import let
 from varloom.staging import staged, staging_path
 
@@ -196,6 +197,76 @@ class WordChunks(ChunkEncoder):
         return b"".join([self.of_word(word) for word in self.words(chunk)])
 
 
+class BlockWords(WordChunks):
+    """The words of many texts at once: ``find`` takes an array of words and gives all ids, and where each word's start and how many they are.
+
+    Chunks that are letters become words by Arrow, the others by the pattern, so nothing is kept from one batch to the next.
+    """
+
+    def __init__(self, find):
+        import regex
+
+        dict.__init__(self)
+        self.words, self.find = regex.compile(PATTERN).findall, find
+        self.drops_space = False
+        self.spaced = {}
+
+    def _values(self, chunks: pa.Array, plain: np.ndarray, follows: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spaced = np.flatnonzero(follows)
+        asked = np.concatenate([spaced, opening])
+        spaces, plain = np.arange(len(asked)) < len(spaced), plain[asked]
+        chosen = chunks.take(pa.array(asked))
+        letters, others = chosen.filter(pa.array(plain)), chosen.filter(pa.array(~plain)).to_pylist()
+        lines, dots, commas = (f.to_numpy(zero_copy_only=False) for f in (pc.starts_with(letters, LINE), pc.ends_with(letters, "."), pc.ends_with(letters, ",")))
+        before = pa.array(["", " "]).take(pa.array((spaces[plain] & ~lines).astype(np.int8)))
+        lists = [self.words("\n" + c[1:] if c[:1] == LINE else " " + c if s else c) for c, s in zip(others, spaces[~plain].tolist())]
+        words = pa.concat_arrays([pc.binary_join_element_wise(before, pc.utf8_trim(letters, LINE + ".,"), ""), pa.array([w for ws in lists for w in ws], pa.string()), pa.array(["\n", ".", ","])])
+
+        # The words of each chunk by their places in ``words``; the last three are the line break and the marks.
+        counts = np.empty(len(asked), np.int64)
+        counts[plain] = 1 + lines + dots + commas
+        counts[~plain] = np.fromiter(map(len, lists), np.int64, len(lists))
+        ends = np.cumsum(counts)
+        places, own = np.empty(ends[-1] if len(ends) else 0, np.int64), np.repeat(plain, counts)
+        opens, closes = (ends - counts)[plain], ends[plain] - 1
+        places[~own] = np.arange(len(letters), len(words) - 3)
+        places[opens + lines] = np.arange(len(letters))
+        for mark, at in enumerate((opens[lines], closes[dots], closes[commas])):
+            places[at] = len(words) - 3 + mark
+
+        ids, starts, sizes = self.find(words)
+        laid = np.concatenate([[0], np.cumsum(sizes[places])])
+        in_chunk = np.zeros(len(chunks) + len(opening), np.int64)
+        in_chunk[np.concatenate([spaced, np.arange(len(chunks), len(in_chunk))])] = laid[ends] - laid[ends - counts]
+        return gathered(ids, starts[places], sizes[places]), in_chunk
+
+    def _one(self, text: str) -> np.ndarray:
+        return gathered(*self.find(pa.array(self.words(text), pa.string())))
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ``ids``, one after the other."""
+    ends = np.cumsum(sizes)
+    return ids[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class WordTable:
+    """Ids of words, laid end to end."""
+
+    def __init__(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray):
+        self.words, self.ids, self.sizes = words, ids, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = pc.index_in(words, value_set=self.words)
+        if rows.null_count:
+            raise KeyError(words.filter(pc.is_null(rows))[0].as_py())
+        return self.ids, self.starts[rows], self.sizes[rows]
+
+    def __call__(self, word: str) -> bytes:
+        return gathered(*self.find(pa.array([word]))).tobytes()
+
+
 def split_runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Runs of rows with one split, in their order."""
     splits = batch.column("split").to_numpy()
@@ -207,8 +278,13 @@ def split_runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
 def split_words(docs: DataFrame) -> DataFrame:
     """(split, word) of ``docs`` (split, text), words as binary; a split that comes in several runs may list a word again."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words = None, set()
-        chunks = WordChunks(lambda word: words.add(word) or b"")
+        now, words = None, []
+
+        def find(some: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            words.append(pc.unique(some))
+            return np.empty(0, "<u4"), *np.zeros((2, len(some)), np.int64)
+
+        chunks = BlockWords(find)
         for batch in byte_slices(batches, "text", BATCH_BYTES):
             for split, run in split_runs(batch):
                 if split != now:
@@ -216,19 +292,18 @@ def split_words(docs: DataFrame) -> DataFrame:
                         yield _word_rows(now, words)
                     now = split
                     words.clear()
-                    # A chunk seen for one split must be seen for the next one too.
-                    chunks.clear()
-                    chunks.spaced.clear()
-                words.update(("\n", ".", ","))
                 chunks.encode(run.column("text"))
+                words[:] = [pc.unique(pa.concat_arrays(words))] if words else []
         if now is not None:
             yield _word_rows(now, words)
 
     return docs.mapInArrow(collect, "split long, word binary")
 
 
-def _word_rows(split: int, words: set[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(words), split), pa.int64()), pa.array([w.encode() for w in words], pa.binary())], ["split", "word"])
+def _word_rows(split: int, words: list[pa.Array]) -> pa.RecordBatch:
+    # Every batch asks for the line break and the marks.
+    distinct = pc.unique(pa.concat_arrays([*words, pa.array(["\n", ".", ","])])).cast(pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), split), pa.int64()), distinct], ["split", "word"])
 
 
 def word_ids(words: DataFrame, name: str) -> DataFrame:
@@ -268,7 +343,7 @@ def encoded_batches(docs: DataFrame, name: str, doc_id: str, text: str, schema:
             for split, run in split_runs(batch):
                 if chunks is None or split != now:
                     now, chunks = split, None
-                    chunks = WordChunks(_word_table(folder, split, name))
+                    chunks = BlockWords(_word_table(folder, split, name).find)
                 yield emit(run.column("doc_id"), *chunks.encode(run.column("text")))
 
     return rows.mapInArrow(apply, schema)
@@ -283,25 +358,27 @@ def encode_documents(docs: DataFrame, name: str, doc_id: str = "doc_id", text: s
     return encoded_batches(docs, name, doc_id, text, "doc_id long, ids array<int>", emit)
 
 
-def _word_table(folder: str, split: int, name: str):
-    """Ids of the split's words as bytes; words too long for the fold by the library."""
+def _word_table(folder: str, split: int, name: str) -> WordTable:
+    """Ids of the split's words; words too long for the fold by the library."""
     import pyarrow.dataset as ds
 
     store, base = shared_store(folder)
     # The folder's own files only: the writer's markers are not data.
     found = ds.dataset(f"{base}/split={split}", filesystem=store, format="parquet")
-    table = {}
-    # In small batches, as the lists made of each take several times the room of the table.
+    words, ids, sizes = [pa.array([], pa.string())], [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+    # In small batches, as a few files together are read ahead otherwise.
     for batch in found.to_batches(columns=["word", "ids"], batch_size=TABLE_ROWS, batch_readahead=1, fragment_readahead=1, use_threads=False):
-        ids = batch.column("ids")
-        first, last = ids.offsets[0].as_py(), ids.offsets[-1].as_py()
-        raw = ids.values.slice(first, last - first).to_numpy().astype("<u4").tobytes()
-        places = (4 * (ids.offsets.to_numpy().astype(np.int64) - first)).tolist()
-        words = [word.decode() for word in batch.column("word").to_pylist()]
-        table.update((word, raw[start:end]) for word, start, end in zip(words, places, places[1:]))
-        for k in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)).tolist():
-            table[words[k]] = np.array(_library(name)(words[k]), "<u4").tobytes()
-    return table.__getitem__
+        some, listed = batch.column("word").cast(pa.string()), batch.column("ids")
+        short = listed.drop_null()
+        words.append(some.filter(pc.is_valid(listed)))
+        sizes.append(pc.list_value_length(short).to_numpy().astype(np.int64))
+        ids.append(short.flatten().to_numpy().astype("<u4"))
+        if listed.null_count:
+            words.append(some.filter(pc.is_null(listed)))
+            long = [np.array(_library(name)(w), "<u4") for w in words[-1].to_pylist()]
+            sizes.append(np.fromiter(map(len, long), np.int64, len(long)))
+            ids.extend(long)
+    return WordTable(pa.concat_arrays(words), np.concatenate(ids), np.concatenate(sizes))
 
 
 @lru_cache(maxsize=1)

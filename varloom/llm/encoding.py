@@ -26,9 +26,10 @@ LONG_TEXT = 1 << 22
 
 # Latin letters; other letters go to the library. The dotted capital I is left
 # out: folded, it ends in a mark.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+").fullmatch
+_LATIN = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
+_LETTERS = re.compile(_LATIN).fullmatch
 _SAFE_CUT = re.compile(r"(?= \S)")
-_LINE = "\0"
+LINE = "\0"
 
 
 class ChunkEncoder(dict):
@@ -80,7 +81,7 @@ class ChunkEncoder(dict):
     def _chunk(self, chunk: str, before: str) -> bytes:
         """Ids of a chunk and of the space or line break before it; a mark after a letter is a token of its own."""
         head = tail = b""
-        if chunk[:1] == _LINE and not self.drops_space:
+        if chunk[:1] == LINE and not self.drops_space:
             head, chunk, before = self.line, chunk[1:], ""
         if chunk[-1:] in self.marks and len(chunk) > 1 and plain_letters(chunk[-2]):
             chunk, tail = chunk[:-1], self.marks[chunk[-1]]
@@ -105,42 +106,47 @@ class ChunkEncoder(dict):
         return self._encode_batch(texts.cast(pa.string()))
 
     def _encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " " if self.drops_space else f" {_LINE}"), " ")
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " " if self.drops_space else f" {LINE}"), " ")
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         flat = split.flatten().dictionary_encode()
-        codes, chunks = flat.indices.to_numpy(), flat.dictionary.to_pylist()
+        codes, chunks = flat.indices.to_numpy(), flat.dictionary
         if self.drops_space:
-            encoded = [self._after_space(c) for c in chunks]
+            table, sizes = _strung([self._after_space(c) for c in chunks.to_pylist()])
         else:
             # Runs of white space may be cut otherwise by the library.
             first, last = bounds[:-1], bounds[1:] - 1
-            odd = np.fromiter((not c or c[0].isspace() or c[0] == _LINE and (len(c) == 1 or c[1].isspace() or _LINE in c[1:])
-                               for c in chunks), bool, len(chunks))
-            loose = np.fromiter((_LINE in c[1:] or c[0:2] == _LINE + _LINE for c in chunks), bool, len(chunks))
+            plain = plain_chunks(chunks)
+            others = chunks.filter(pa.array(~plain)).to_pylist()
+            odd, loose = np.zeros((2, len(chunks)), bool)
+            odd[~plain] = [not c or c[0].isspace() or c[0] == LINE and (len(c) == 1 or c[1].isspace() or LINE in c[1:]) for c in others]
+            loose[~plain] = [LINE in c[1:] or c[0:2] == LINE + LINE for c in others]
             if odd.any() or loose.any() or _has_nul(texts):
                 at = odd[codes]
                 ending = last[at[last] & (last > first)]
-                at[ending] = [chunks[c] != _LINE for c in codes[ending]]
-                at[first] = [c[:1] == _LINE for c in flat.dictionary.take(pa.array(codes[first])).to_pylist()]
+                at[ending] = [c != LINE for c in chunks.take(pa.array(codes[ending])).to_pylist()]
+                at[first] = [c[:1] == LINE for c in chunks.take(pa.array(codes[first])).to_pylist()]
                 at |= loose[codes]
                 rows = np.logical_or.reduceat(at, first) | _nul_rows(texts)
                 if rows.any():
                     return self._encode_odd(texts, rows)
             opening, places = np.unique(codes[first], return_inverse=True)
-            openings = [self._chunk(chunks[i], "") for i in opening]
             codes = codes.copy()
             codes[first] = len(chunks) + places
             follows = np.zeros(len(chunks) + len(opening), bool)
             follows[codes] = True
-            encoded = [self._after_space(c) if f else b"" for c, f in zip(chunks, follows)] + openings
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) >> 2
-        table, starts = np.frombuffer(b"".join(encoded), "<u4"), np.cumsum(sizes) - sizes
+            table, sizes = self._values(chunks, plain, follows[:len(chunks)], opening)
+        starts = np.cumsum(sizes) - sizes
         lengths = sizes[codes]
         ends = np.cumsum(lengths)
         places = np.repeat(starts[codes] - ends + lengths, lengths)
         places += np.arange(len(places))
         return table[places], np.concatenate([[0], ends])[bounds[1:]]
 
+    def _values(self, chunks: pa.Array, plain: np.ndarray, follows: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``chunks`` (those that ``follows`` marks have a space before them, the others are empty), then of the ``opening`` ones, and how many each has."""
+        names = chunks.to_pylist()
+        return _strung([self._after_space(c) if f else b"" for c, f in zip(names, follows)] + [self._chunk(names[i], "") for i in opening])
+
     def _encode_odd(self, texts: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Texts with runs of spaces are cut one by one, the others as usual."""
         plain, ends = (np.empty(0, "<u4"), np.empty(0, np.int64)) if odd.all() else self._encode_batch(texts.filter(pa.array(~odd)))
@@ -164,12 +170,21 @@ class ChunkEncoder(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, _SAFE_CUT.split(text))), "<u4")
 
 
+def _strung(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(encoded), "<u4"), np.fromiter(map(len, encoded), np.int64, len(encoded)) >> 2
+
+
+def plain_chunks(chunks: pa.Array) -> np.ndarray:
+    """Which chunks are letters, with at most a line break before them and a mark after them."""
+    return pc.match_substring_regex(chunks, f"^\\x00?{_LATIN}[.,]?$").to_numpy(zero_copy_only=False)
+
+
 def _has_nul(texts: pa.Array) -> bool:
-    return bool(pc.any(pc.match_substring(texts, _LINE)).as_py())
+    return bool(pc.any(pc.match_substring(texts, LINE)).as_py())
 
 
 def _nul_rows(texts: pa.Array) -> np.ndarray:
-    return pc.match_substring(texts, _LINE).to_numpy(zero_copy_only=False)
+    return pc.match_substring(texts, LINE).to_numpy(zero_copy_only=False)
 
 
 def _pieces(text: str):
