@@ -116,3 +116,12 @@ def test_later_runs_compare_fingerprints_before_they_move_rows(spark, references
         assert "gpn_score" not in {c for df in stored if "feature" in df.columns for c in df.columns}
     assert rows(found) == rows(run_pipeline(spark, config(references, tmp_path, "whole")).select(*found.columns))
     assert set(VARIANT_KEY) <= set(spark.read.parquet(f"{step.outdir}/first_rows").columns)
+
+
+def test_stages_that_others_read_are_zstd(spark, references, tmp_path):  # noqa: F811
+    publish(spark, tmp_path, 0)
+    step = config(references, tmp_path, "features")
+    run_pipeline(spark, step)
+    stages = ("vep_processed", "first_rows", "conservation", "pre_deleteriousness")
+    assert {name: {f.name.split(".")[-2] for f in (tmp_path / "features" / name).glob("part-*")} for name in (*stages, "final")} == {
+        **dict.fromkeys(stages, {"zstd"}), "final": {"snappy"}}
